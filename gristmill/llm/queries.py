@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from ..tables import load
-from . import packing, quality, warc
+from . import langid, lz, packing, quality, toxicity, url_filter, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: The rules that the contract of op2 fixes.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page url judged by rule or by its template."""
+    return url_filter.filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     path = f"{scratch_dir(spark)}/archive"
@@ -27,6 +36,20 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4) == 2
+    model = langid.train(docs.where(~held), key=F.col("doc_id"))
+    got = langid.predict(docs.select("doc_id", held.alias("held_out"), "text"), model)
+    return got.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrase fingerprints of every document and of its edited text."""
+    return lz.compare_neighbours(load(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdict of every document."""
     q = quality.score(load(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -34,8 +57,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", *[F.col(f"quality_rules.{n}").alias(n) for n in names])
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned from the labels that are not held out."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    held = lambda c: (F.crc32(F.col(c).cast("string").cast("binary")) % 5) == 0
+    model = toxicity.train(docs, load(spark, sf_dir, "labels").where(~held("doc_id")))
+    got = toxicity.score(docs, model)
+    return got.select("doc_id", held("doc_id").alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_warc, op7_quality)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filter, op3_warc, op5_langid, op6_lz_fingerprint, op7_quality, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

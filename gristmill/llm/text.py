@@ -133,3 +133,24 @@ def shingles(words: np.ndarray, first: np.ndarray, n: int) -> list[np.ndarray]:
 
 
 np.seterr(over="ignore")
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, inverse) of the distinct spans, in order of place; spans[inverse] restores all."""
+    _, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    order = np.argsort(first, kind="stable")
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return starts[first[order]], ends[first[order]], rank[inverse]
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans' bytes one after the other, a zero before and after each; and where each begins."""
+    size = ends - starts + 2
+    at = np.concatenate(([0], np.cumsum(size)))
+    out = np.zeros(int(at[-1]), dtype=np.uint8)
+    inner = np.arange(int((ends - starts).sum()))
+    own = np.repeat(np.arange(len(starts)), ends - starts)
+    shift = np.concatenate(([0], np.cumsum(ends - starts)))[:-1]
+    out[inner + 2 * own + 1] = data[inner - shift[own] + starts[own]]
+    return out, at
