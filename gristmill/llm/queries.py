@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from ..tables import load
-from . import langid, lz, packing, quality, toxicity, url_filter, warc
+from . import langid, lz, ngram_join, packing, quality, toxicity, url_filter, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 3-word shingle similarity of 0.9 or more."""
+    return ngram_join.link(load(spark, sf_dir, "documents"), words=3, num=90, den=100).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the documents that are not held out."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -67,7 +73,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filter, op3_warc, op5_langid, op6_lz_fingerprint, op7_quality, op10_toxicity)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_packing, op2_url_filter, op3_warc, op4_ngram_join, op5_langid, op6_lz_fingerprint, op7_quality, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
