@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from ..tables import load
-from . import langid, lz, ngram_join, packing, quality, toxicity, url_filter, warc
+from . import langid, license_scan, lz, ngram_join, packing, quality, sp_codec, toxicity, url_filter, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,27 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", *[F.col(f"quality_rules.{n}").alias(n) for n in names])
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded into pieces and decoded again."""
+    return sp_codec.digest(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def as_files(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: source / id range / smaller id range / file.
+
+    The tables hold no paths. A short text stands for the NOTICE of its directory.
+    """
+    source = F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown"))
+    name = F.when(F.length("text") < 1200, F.concat(F.lit("NOTICE-"), F.col("doc_id"))).otherwise(F.concat(F.col("doc_id"), F.lit(".txt")))
+    return docs.select("doc_id", "text", F.concat_ws("/", source, F.expr("doc_id div 4096"), F.expr("doc_id div 64"), name).alias("path"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, stated or inherited."""
+    got = license_scan.scan(as_files(load(spark, sf_dir, "documents")))
+    return got.withColumn("doc_id", F.regexp_extract("path", "([0-9]+)(?:[.]txt)?$", 1).cast("long"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document, learned from the labels that are not held out."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,7 +94,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_packing, op2_url_filter, op3_warc, op4_ngram_join, op5_langid, op6_lz_fingerprint, op7_quality, op10_toxicity)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_packing, op2_url_filter, op3_warc, op4_ngram_join, op5_langid, op6_lz_fingerprint, op7_quality, op8_sentencepiece, op9_license_scan, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
