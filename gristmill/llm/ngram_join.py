@@ -43,7 +43,8 @@ PAIRS_UP_TO = 8
 #: Texts of a family that are verified against each other in one go.
 BLOCK = 512
 BLOOM_BITS = 1 << 23
-UNKNOWN = 1 << 40
+#: Share of all hashes in the low region beyond what prefixes need.
+MARGIN = 0.1
 
 
 def needed(size: int, num: int, den: int) -> int:
@@ -70,36 +71,72 @@ def _batch(names: list[str], types: list[pa.DataType], rows: list[tuple]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
 
-def _sketches(words: int, num: int, den: int, limit: int):
-    names, types = ["k", "n", "sig", "low", "extra"], [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+def _region(h: np.ndarray, limit: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(low shingles, those after them that a prefix may need) of a set, cut to 48 bits.
+
+    48 bits keep the order, and tell the shingles of any two texts apart; sets are verified with
+    all 64.
+    """
+    size, low = len(h), int(np.searchsorted(h, U(limit)))
+    most = min(size, size - needed(size, num, den) + MOST)
+    return np.unique(h[:low] >> U(16)), np.unique(h[low:most] >> U(16)) if low < most else h[:0]
+
+
+def _slim(words: int, num: int, den: int, limit: int):
+    """Per text its key, set size and signature; rows with n = -1 hold often seen shingles."""
+    names, types = ["k", "n", "sig", "often"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
+    def often(held: dict[int, np.ndarray]) -> tuple:
+        t, c = np.unique(np.concatenate(list(held.values())), return_counts=True)
+        keep = c >= OFTEN
+        return None, -1, None, np.concatenate((t[keep], c[keep].astype(U))).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        count = 0
         for b in batches:
             rows = []
             for k, h in zip(b.column(0).to_pylist(), sets_of(b.column(1), words), strict=True):
-                size = len(h)
-                low = int(np.searchsorted(h, U(limit)))
-                most = min(size, size - needed(size, num, den) + MOST)
-                rows.append((k, size, signature(h) if size else None, h[:low].tobytes(), h[low:most].tobytes() if low < most else b""))
+                sig = signature(h) if len(h) else None
+                rows.append((k, len(h), sig, None))
+                if sig is not None and sig not in held:
+                    held[sig] = _region(h, limit, num, den)[0]
+                    count += len(held[sig])
+                    if count >= FLUSH:
+                        rows.append(often(held))
+                        held, count = {}, 0
             yield _batch(names, types, rows)
+        if held:
+            yield _batch(names, types, [often(held)])
 
     return run
 
 
-def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
-    """(low shingles, signature of each, rows) of distinct sets, some FLUSH shingles at a time."""
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for blob in b.column(0):
+            t, c = np.frombuffer(blob.as_buffer(), dtype=np.int64).reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(c)], names=["token", "c"])
+
+
+def _flushes(batches: Iterator[pa.RecordBatch], words: int, limit: int, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
+    """(low shingles, signature of each, rows) of distinct sets, some FLUSH shingles at a time.
+
+    rows: (signature, set size, low shingles, further shingles). Input: a column of texts.
+    """
     seen: set[int] = set()
     low, sigs, rows, held = [], [], [], 0
     for b in batches:
-        for sig, n, a, e in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+        for h in sets_of(b.column(0), words):
+            sig = signature(h) if len(h) else None
             if sig is None or sig in seen:
                 continue
             seen.add(sig)
-            h = np.frombuffer(a, dtype=U)
-            low.append(h)
-            sigs.append(np.full(len(h), sig, dtype=np.int64))
-            rows.append((sig, n, len(h), e))
-            held += len(h) + 16
+            t, beyond = _region(h, limit, num, den)
+            low.append(t)
+            sigs.append(np.full(len(t), sig, dtype=np.int64))
+            rows.append((sig, len(h), len(t), beyond))
+            held += len(t) + 16
             if held >= FLUSH:
                 yield np.concatenate(low), np.concatenate(sigs), rows
                 seen, low, sigs, rows, held = set(), [], [], [], 0
@@ -107,11 +144,16 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
         yield np.concatenate(low), np.concatenate(sigs), rows
 
 
-def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for low, _, _ in _flushes(batches):
-        t, c = np.unique(low, return_counts=True)
-        keep = c >= OFTEN
-        yield pa.RecordBatch.from_arrays([pa.array(t[keep].view(np.int64)), pa.array(c[keep].astype(np.int64))], names=["token", "c"])
+def coded(df: np.ndarray) -> np.ndarray:
+    """A frequency in one byte, never falling: exact to 127, then eight steps a doubling."""
+    big = 128 + np.floor(8 * np.log2(np.maximum(df, 128) / 128)).astype(np.int64)
+    return np.where(df < 128, df, np.minimum(big, UNKNOWN - 1)).astype(np.uint8)
+
+
+def decoded(code: np.ndarray) -> np.ndarray:
+    """About the frequency of a code; an unknown one counts as two."""
+    c = code.astype(np.float64)
+    return np.where(code == UNKNOWN, 2.0, np.where(c < 128, c, 128 * 2 ** ((c - 128) / 8)))
 
 
 class Frequent:
@@ -130,35 +172,51 @@ class Frequent:
         return np.where(self.tokens[at] == tokens, self.counts[at], 0)
 
 
-def _dealt(bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, blob): the columns' 64-bit values of each bucket, one column after the other."""
+#: Layouts of the blobs that tasks exchange: columns one after the other.
+ROUTED = (np.dtype("<u4"), np.dtype("<u2"), np.dtype("<i8"))  # shingle (high, low), signature
+ANSWER = (np.dtype("<i8"), np.dtype("<u4"), np.dtype("<u2"), np.dtype("u1"))  # signature, shingle, code
+#: Codes of an answer that are no frequency: its number is the set's size, or its low shingles.
+SIZE, LOW, UNKNOWN = 0, 1, 255
+
+
+def _dealt(bucket: np.ndarray, layout: tuple, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, blob) with the columns' values of each bucket."""
     if not len(bucket):
         return
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
-    columns = [c[order].view(np.int64) for c in columns]
+    columns = [c[order].astype(t) for c, t in zip(columns, layout, strict=True)]
     cut = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
-    rows = [(int(bucket[a]), np.concatenate([c[a:b] for c in columns]).tobytes()) for a, b in zip(cut, [*cut[1:], len(bucket)], strict=True)]
+    rows = [(int(bucket[a]), b"".join(c[a:b].tobytes() for c in columns)) for a, b in zip(cut, [*cut[1:], len(bucket)], strict=True)]
     yield _batch(["bucket", "blob"], [pa.int32(), pa.binary()], rows)
 
 
-def _gather(batches: Iterator[pa.RecordBatch], width: int) -> list[np.ndarray]:
-    parts: list[list[np.ndarray]] = [[] for _ in range(width)]
+def _gather(batches: Iterator[pa.RecordBatch], layout: tuple) -> list[np.ndarray]:
+    width = sum(t.itemsize for t in layout)
+    parts: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in layout]
     for b in batches:
         for blob in b.column("blob"):
-            for p, c in zip(parts, np.frombuffer(blob.as_buffer(), dtype=np.int64).reshape(width, -1), strict=True):
-                p.append(c)
-    return [np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts]
+            raw = blob.as_buffer()
+            n, at = raw.size // width, 0
+            for p, t in zip(parts, layout, strict=True):
+                p.append(np.frombuffer(raw, dtype=t, count=n, offset=at))
+                at += n * t.itemsize
+    return [np.concatenate(p) for p in parts]
+
+
+def _whole(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return (high.astype(np.int64) << 16) | low
 
 
-def _route(frequent, limit: int, buckets: int):
+def _route(frequent, words: int, limit: int, num: int, den: int, buckets: int):
     """Shingles outside the table go to the bucket of their hash, with their set."""
-    step = U(max(1, -(-limit // buckets)))
+    step = U(max(1, -(-(limit >> 16) // buckets)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for low, sigs, _ in _flushes(batches):
+        for low, sigs, _ in _flushes(batches, words, limit, num, den):
             keep = frequent.value.of(low) == 0
-            yield from _dealt((low[keep] // step).astype(np.int64), [low[keep], sigs[keep]])
+            t = low[keep]
+            yield from _dealt((t // step).astype(np.int64), ROUTED, [t >> U(16), t & U(0xFFFF), sigs[keep]])
 
     return run
 
@@ -167,39 +225,44 @@ def _sig_bucket(sigs: np.ndarray, buckets: int) -> np.ndarray:
     return (sigs.view(U) % U(buckets)).astype(np.int64)
 
 
+def _answers(sigs: np.ndarray, tokens: np.ndarray, codes: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    t = tokens.astype(U)
+    yield from _dealt(_sig_bucket(sigs, buckets), ANSWER, [sigs, t >> U(16), t & U(0xFFFF), codes])
+
+
 def _frequencies(buckets: int):
     """Per shingle of a bucket its distinct sets; those with two or more go back to their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, sigs = _gather(batches, 2)
+        high, low, sigs = _gather(batches, ROUTED)
+        tokens = _whole(high, low)
         order = np.lexsort((sigs, tokens))
         tokens, sigs = tokens[order], sigs[order]
         fresh = np.ones(len(tokens), dtype=bool)
         fresh[1:] = (tokens[1:] != tokens[:-1]) | (sigs[1:] != sigs[:-1])
         tokens, sigs = tokens[fresh], sigs[fresh]
-        first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.zeros(0, np.int64)
-        df = np.repeat(np.diff(np.append(first, len(tokens))), np.diff(np.append(first, len(tokens))))
-        many = df >= 2
-        yield from _dealt(_sig_bucket(sigs[many], buckets), [sigs[many], tokens[many], df[many].astype(np.int64)])
+        if len(tokens):
+            run_of = np.diff(np.append(np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))), len(tokens)))
+            df = np.repeat(run_of, run_of)
+            many = df >= 2
+            yield from _answers(sigs[many], tokens[many], coded(df[many]), buckets)
 
     return run
 
 
-def _own(frequent, buckets: int):
+def _own(frequent, words: int, limit: int, num: int, den: int, buckets: int):
     """What a set knows by itself: its size, its frequent shingles, its shingles beyond the region."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for low, sigs, rows in _flushes(batches):
+        for low, sigs, rows in _flushes(batches, words, limit, num, den):
             df = frequent.value.of(low)
             f = df > 0
-            s, n, m, extra = zip(*rows, strict=True)
-            beyond = [np.frombuffer(e, dtype=np.int64) for e in extra]
+            s, n, m, beyond = zip(*rows, strict=True)
             sig = np.array(s, dtype=np.int64)
-            a = np.concatenate([sigs[f], sig, np.repeat(sig, [len(e) for e in beyond])])
-            meta = (np.array(n, dtype=np.int64) << 32) | np.array(m, dtype=np.int64)
-            t = np.concatenate([low[f].view(np.int64), meta, *beyond])
-            d = np.concatenate([df[f], np.zeros(len(sig), np.int64), np.full(len(a) - int(f.sum()) - len(sig), UNKNOWN)])
-            yield from _dealt(_sig_bucket(a, buckets), [a, t, d])
+            further = np.repeat(sig, [len(e) for e in beyond])
+            codes = [coded(df[f]), np.full(len(sig), SIZE, np.uint8), np.full(len(sig), LOW, np.uint8), np.full(len(further), UNKNOWN, np.uint8)]
+            tokens = [low[f], np.array(n, dtype=U), np.array(m, dtype=U), *beyond]
+            yield from _answers(np.concatenate([sigs[f], sig, sig, further]), np.concatenate(tokens), np.concatenate(codes), buckets)
 
     return run
 
@@ -217,7 +280,7 @@ def choose(size: int, singles: int, df: np.ndarray, num: int, den: int) -> tuple
         take = min(size, size - overlap + match) - singles
         if take <= 0:
             return match, 0
-        lists = float((np.minimum(df[:take], UNKNOWN) % UNKNOWN - 1).clip(min=1).sum())
+        lists = float((df[:take] - 1).clip(min=1).sum())
         best = min(best, (lists * (1 + 8 / match), match, take))
     return best[1], best[2]
 
@@ -226,22 +289,26 @@ def _prefixes(num: int, den: int):
     names, types = ["token", "sig", "n", "match"], [pa.int64()] * 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, tokens, df = _gather(batches, 3)
-        order = np.lexsort((tokens.view(U), df, sigs))  # unsigned order within a frequency
-        sigs, tokens, df = sigs[order], tokens[order], df[order]
+        sigs, high, low, code = _gather(batches, ANSWER)
+        tokens = _whole(high, low)
+        order = np.lexsort((tokens, code, sigs))
+        sigs, tokens, code = sigs[order], tokens[order], code[order]
         fresh = np.ones(len(sigs), dtype=bool)
-        fresh[1:] = (sigs[1:] != sigs[:-1]) | (tokens[1:] != tokens[:-1]) | (df[1:] != df[:-1])
-        sigs, tokens, df = sigs[fresh], tokens[fresh], df[fresh]
-        first = np.flatnonzero(np.concatenate(([True], sigs[1:] != sigs[:-1]))) if len(sigs) else np.zeros(0, np.int64)
-        size, low = tokens[first] >> 32, tokens[first] & 0xFFFFFFFF
-        known = np.add.reduceat(((df > 0) & (df < UNKNOWN)).astype(np.int64), first) if len(first) else first
-        singles = low - known
+        fresh[1:] = (sigs[1:] != sigs[:-1]) | (tokens[1:] != tokens[:-1]) | (code[1:] != code[:-1])
+        sigs, tokens, code = sigs[fresh], tokens[fresh], code[fresh]
+        if not len(sigs):
+            return
+        first = np.flatnonzero(np.concatenate(([True], sigs[1:] != sigs[:-1])))  # a set's size, then its low shingles
+        size, low_count = tokens[first], tokens[first + 1]
+        known = np.add.reduceat(((code > LOW) & (code < UNKNOWN)).astype(np.int64), first)
+        singles = low_count - known
+        df = decoded(code)
         overlap = -(-num * size // den)
         live = singles < size - overlap + 1  # others have a prefix that no other set shares
         last = np.append(first[1:], len(sigs))
         out: list[list[np.ndarray]] = [[], [], [], []]
         for i in np.flatnonzero(live).tolist():
-            a, b = int(first[i]) + 1, int(last[i])
+            a, b = int(first[i]) + 2, int(last[i])
             match, take = choose(int(size[i]), int(singles[i]), df[a:b], num, den)
             got = tokens[a : a + take] if take > 0 else tokens[:0]
             for c, v in zip(out, (got, np.full(len(got), sigs[a - 1]), np.full(len(got), size[i]), np.full(len(got), match)), strict=True):
@@ -362,19 +429,21 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: s
     """
     spark = docs.sparkSession
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    limit = int(min(0.999, 2 * (1 - num / den) + 0.05) * (1 << 64))
+    # The region holds somewhat more than the shingles of a prefix, so that few sets run beyond it.
+    limit = int(min(0.999, 1 - num / den + MARGIN) * (1 << 64))
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.col(text_col).cast("string").alias("text"))
-    sketch = written(src.mapInArrow(_sketches(words, num, den, limit), "k long, n long, sig long, low binary, extra binary"), "sketch")
-    slim = sketch.select("k", "n", "sig")
+    all_rows = written(src.mapInArrow(_slim(words, num, den, limit), "k long, n long, sig long, often binary"), "slim")
+    slim = all_rows.where("n >= 0").select("k", "n", "sig")
     classes = written(slim.where("sig is not null").groupBy("sig").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("copies")), "classes")
 
-    parts = sketch.select("sig", "n", "low", "extra")
-    often = parts.mapInArrow(_often, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT_FROM)
+    often = all_rows.where("n < 0").select("often").mapInArrow(_unpacked, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT_FROM)
     table = often.orderBy(F.desc("c"), "token").limit(FREQUENT).collect()
     frequent = spark.sparkContext.broadcast(Frequent([r.token for r in table], [r.c for r in table]))
-    blob = "bucket int, blob binary"
-    shared = parts.mapInArrow(_route(frequent, limit, buckets), blob).repartition(buckets, "bucket").mapInArrow(_frequencies(buckets), blob)
-    own = parts.mapInArrow(_own(frequent, buckets), blob)
+    # The shingles are made anew from the texts where they are needed: that costs some CPU, but a
+    # table of them would be as large as the input.
+    texts, blob = src.select("text"), "bucket int, blob binary"
+    shared = texts.mapInArrow(_route(frequent, words, limit, num, den, buckets), blob).repartition(buckets, "bucket").mapInArrow(_frequencies(buckets), blob)
+    own = texts.mapInArrow(_own(frequent, words, limit, num, den, buckets), blob)
     prefix = written(shared.unionAll(own).repartition(buckets, "bucket").mapInArrow(_prefixes(num, den), "token long, sig long, n long, match long"), "prefix")
     del shared, own, often
     _collect_garbage(spark)
