@@ -21,7 +21,7 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes hashed at a time; bounds the working memory to about 40 times this.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
