@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def sha256_prefix(text: Column, digits: int = 8) -> Column:
@@ -43,7 +44,7 @@ def sha256_mod(key: Column, modulus: int = 10000) -> Column:
     return F.aggregate(digits, F.lit(0).cast("long"), lambda a, d: (a * 256 + d) % modulus)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def blake2b_mod100(key: pd.Series) -> pd.Series:
     """blake2b-64 of the text modulo 100 (K2); not built in, hence a vectorised function."""
     return key.map(lambda k: int.from_bytes(hashlib.blake2b(k.encode(), digest_size=8).digest(), "big") % 100 if k is not None else None)
@@ -74,3 +75,18 @@ def sign_signature(vector: Column) -> Column:
 def ordered_digest(column: Column, sep: str = "\n") -> Column:
     """sha256 over the sorted values joined by ``sep``."""
     return F.sha2(F.array_join(F.sort_array(F.collect_list(column)), sep), 256)
+
+
+def simhash(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, sig``: our 64-bit signature twin of an image hash, from md5 of each word (Q2).
+
+    Bit i is set where more words have it than not. One pre-aggregated pass; a text without words
+    has no row.
+    """
+    words = df.select(F.col(id_col).alias("id"), F.explode(F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("w"))
+    h = words.select("id", hex64(F.substring(F.md5(F.col("w").cast("binary")), 1, 16)).alias("h"))
+    votes = h.groupBy("id").agg(*[F.sum(F.when(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)).alias(f"v{i}") for i in range(64)])
+    sig = F.lit(0).cast("long")
+    for i in range(64):
+        sig = sig.bitwiseOR(F.when(F.col(f"v{i}") > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    return votes.select("id", sig.alias("sig"))

@@ -8,6 +8,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def collapse(text: Column) -> Column:
@@ -49,25 +50,25 @@ def licence_id(text: Column) -> Column:
     return F.when(cc != "", F.concat(F.lit("cc-"), cc, F.lit("-"), version)).when(t.rlike("cc0|publicdomain/zero"), "cc0-1.0").when(t.rlike("public domain"), "public-domain").when(t.rlike("apache"), "apache-2.0").when(t.rlike(r"\bmit\b"), "mit").when(t.rlike("general public license"), "gpl")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Unicode normal form C."""
     return text.map(lambda t: unicodedata.normalize("NFC", t) if t is not None else None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def casefold(text: pd.Series) -> pd.Series:
     """Full case folding, where lower() would differ."""
     return text.map(lambda t: t.casefold() if t is not None else None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def join_url(base: pd.Series, link: pd.Series) -> pd.Series:
     """A link resolved against the page it stands on."""
     return pd.Series([urljoin(b, x) if b is not None and x is not None else None for b, x in zip(base, link, strict=True)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def base36(hex_text: pd.Series) -> pd.Series:
     """A hex number of any length in base 36."""
 

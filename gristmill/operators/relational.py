@@ -84,8 +84,8 @@ def signature_pairs(left: DataFrame, right: DataFrame, radius: int, id_col: str
 def nearest_signature(queries: DataFrame, reference: DataFrame, id_col: str = "id", sig_col: str = "sig") -> DataFrame:
     """Per query the reference with the least distance, ties to the smaller id.
 
-    The distance is unbounded, so every query meets every reference, in blocks: the reference is
-    the denylist side. It is broadcast only if adaptive execution finds it below the threshold.
+    The distance is unbounded, so every query meets every reference: ``queries`` is the small
+    stated side (a benchmark). Minima are taken before the shuffle.
     """
     q, r = queries.select(F.col(id_col).alias("a"), F.col(sig_col).alias("sa")), reference.select(F.col(id_col).alias("b"), F.col(sig_col).alias("sb"))
     near = q.join(r, how="cross").groupBy("a").agg(F.min(F.struct(hamming(F.col("sa"), F.col("sb")).alias("distance"), "b")).alias("m"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from . import activity, curation  # noqa: F401  (activity registers its queries)
+
 
 def queries() -> dict:
-    return {}
+    return dict(curation.QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(curation.SQL)
