@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ SPACE = "▁"
 UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Code points of distinct units indexed at a time, and units remembered by a worker.
 INDEXED, REMEMBERED = 400_000, 1_000_000
+#: Code points of texts encoded together; the more, the fewer searches of the whole piece list.
+TOGETHER = 4_000_000
 
 
 class Codec:
@@ -63,6 +66,8 @@ class Codec:
         self.top = chars
         self.follow: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.inside = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
 
     def _merged(self, parts: list[int], below: int) -> list[int]:
         """Merge the best-ranked pair, leftmost first, with pieces ranked before ``below``."""
@@ -180,22 +185,49 @@ class Codec:
             out.append(np.array(got[::-1], dtype="<u4").tobytes())
         return out
 
+    def _pieces_apart(self, unit: str) -> list[str]:
+        """``unit`` cut between characters that stand side by side in no piece: no merge reaches across."""
+        inside, out, a = self.inside, [], 0
+        for i in range(1, len(unit)):
+            if unit[i - 1 : i + 1] not in inside:
+                out.append(unit[a:i])
+                a = i
+        out.append(unit[a:])
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of ``words`` (units without their leading space mark) into the cache."""
+        apart = {w: self._pieces_apart(SPACE + w) for w in sorted(words)}
+        fresh, held = [], 0
+        for part in dict.fromkeys(x for parts in apart.values() for x in parts if x not in self.parts):
+            fresh.append(part)
+            held += len(part) + 1
+            if held >= INDEXED:
+                self.parts.update(zip(fresh, self._safe(fresh), strict=True))
+                fresh, held = [], 0
+        if fresh:
+            self.parts.update(zip(fresh, self._safe(fresh), strict=True))
+        known = self.parts
+        self.cache.update((w, b"".join([known[x] for x in parts])) for w, parts in apart.items())
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the model's own library gives them."""
-        cut = [UNITS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         cache = self.cache
         if len(cache) > REMEMBERED:
             cache.clear()
-        fresh, held = [], 0
-        for u in dict.fromkeys(x for units in cut for x in units if x not in cache):
-            fresh.append(u)
-            held += len(u) + 1
-            if held >= INDEXED:
-                cache.update(zip(fresh, self._safe(fresh), strict=True))
-                fresh, held = [], 0
-        if fresh:
-            cache.update(zip(fresh, self._safe(fresh), strict=True))
-        return [b"".join(map(cache.__getitem__, units)) for units in cut]
+            self.parts.clear()
+        cut, fresh = [], set()
+        for t in texts:
+            if not t:
+                words = []
+            elif "  " in t or t[-1] == " " or t[0] == " " or SPACE in t:  # runs of spaces belong to the word after them
+                words = [u[1:] if u[0] == SPACE else u for u in UNITS.findall(SPACE + t.replace(" ", SPACE))]
+            else:
+                words = t.split(" ")
+            cut.append(words)
+            fresh.update(words)
+        self._learn(fresh.difference(cache))
+        return [b"".join([cache[w] for w in words]) for words in cut]
 
     def _safe(self, units: list[str]) -> list[bytes]:
         """Units with the separator inside are cut around it; it is never a piece."""
@@ -226,6 +258,16 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about TOGETHER bytes of the second column, one row at least."""
+    size = np.cumsum([n or 0 for n in pc.binary_length(batch.column(1)).to_pylist()])
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + TOGETHER, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``piece_ids`` (array of int), equal to the model library's ids.
 
@@ -236,8 +278,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
         c, out = codec(model_path), []
-        for at in range(0, len(texts), 512):
-            out += [np.frombuffer(x, dtype="<i4") for x in c.encode([t or "" for t in texts.slice(at, 512).to_pylist()])]
+        for part in _parts(pa.RecordBatch.from_arrays([texts, texts], names=["key", "text"])):
+            out += [np.frombuffer(x, dtype="<i4") for x in c.encode([t or "" for t in part.column(1).to_pylist()])]
         return pa.array(out, pa.list_(pa.int32()))
 
     return docs.withColumn("piece_ids", run(F.col(text_col).cast("string")))
@@ -266,8 +308,7 @@ def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         c = codec(model_path)
         for b in batches:
             rows = []
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for part in _parts(b):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for i, t, x in zip(part.column(0).to_pylist(), texts, c.encode(texts), strict=True):
                     back = c.decode(x)
