@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from ..tables import load
-from . import langid, license_scan, lz, ngram_join, packing, quality, sp_codec, toxicity, url_filter, warc
+from . import langid, license_scan, lz, ngram_join, oracles, packing, quality, sp_codec, toxicity, url_filter, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,4 +98,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_ngram_join": oracles.components_sql(), "op7_quality": oracles.quality_sql()}
