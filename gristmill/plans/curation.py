@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, text
 from ..operators import graph, ordering, quality, relational
+from ..session import written
 from ..tables import load
 
 QUERIES: dict = {}
@@ -208,18 +209,26 @@ def fallback_match(spark, d):
     return relational.two_key_lookup(docs.drop("n_chars"), load(spark, d, "labels").where("toxic = 0"), second, "doc_id", ["lang", "source"], "quality").withColumn("quality", F.coalesce("quality", F.lit(-1)))
 
 
-@query("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE contains(lower(regexp_replace(documents.text, '\\s+', ' ', 'g')), lower(left(regexp_replace(b.text, '\\s+', ' ', 'g'), 60))))")
+_RUNS = "(SELECT {id}, unnest(list_transform(range(1, greatest(len(w) - 6, 1)), lambda i: array_to_string(w[i:i + 7], ' '))) AS r FROM (SELECT {id}, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table}))"
+
+
+@query(f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM {_RUNS.format(id='doc_id', table='documents')} WHERE r IN (SELECT r FROM {_RUNS.format(id='item_id', table='benchmark')}))")
 def benchmark_containment(spark, d):
-    """Documents that hold the opening of no benchmark text. The benchmark is a fixed
-    denylist, so documents pass by it in one broadcast join when it is below the threshold."""
-    flat = lambda c: F.lower(F.regexp_replace(F.col(c), r"\s+", " "))
-    bench = load(spark, d, "benchmark").select(F.lower(F.substring(F.regexp_replace("text", r"\s+", " "), 1, 60)).alias("b"))
-    docs = _docs(spark, d).select("doc_id", flat("text").alias("t"))
-    return docs.join(bench, docs["t"].contains(bench["b"]), "left_anti").select("doc_id")
+    """Documents that share no run of eight words with a benchmark text.
+
+    Runs meet by hash in a semi join, so neither side is held against all of the other.
+    """
+
+    def runs(df: DataFrame, key: str) -> DataFrame:
+        words = df.select(key, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w")).where(F.size("w") >= 8)
+        return words.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 7), lambda i: F.xxhash64(F.slice("w", i, 8)))).alias("r"))
+
+    hit = runs(_docs(spark, d), "doc_id").join(runs(load(spark, d, "benchmark"), "item_id").select("r"), "r", "left_semi").select("doc_id").distinct()
+    return _docs(spark, d).select("doc_id").join(hit, "doc_id", "left_anti")
 
 
 def signatures(spark, d):
-    return hashing.simhash(_docs(spark, d), "doc_id", "text")
+    return written(hashing.simhash(_docs(spark, d), "doc_id", "text"), "signatures")  # used on both sides of joins
 
 
 _HALF = lambda a, b: " + ".join(f"CASE WHEN sum(CASE WHEN (h >> {i}) & 1 = 1 THEN 1 ELSE -1 END) > 0 THEN {1 << (i - a)}::BIGINT ELSE 0 END" for i in range(a, b))
@@ -253,7 +262,7 @@ def signature_components(spark, d):
 @query()
 def greedy_signature_dedup(spark, d):
     """Order-dependent greedy dedup; held to the sequential pass by a test."""
-    pairs = near_signature_pairs(spark, d)
+    pairs = written(near_signature_pairs(spark, d), "pairs")
     return quality.greedy_independent(signatures(spark, d).select("id"), pairs.select(F.col("a").alias("early"), F.col("b").alias("late")))
 
 
