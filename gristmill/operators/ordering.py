@@ -167,3 +167,16 @@ def bootstrap(df: DataFrame, value: str, rounds: int, seed: int, statistic: Call
             yield pd.DataFrame({"round": b["id"], "statistic": got})
 
     return spark.range(rounds).mapInPandas(run, "round long, statistic double")
+
+
+def spatial_holdout(df: DataFrame, x: str, cell: Column, share: float = 0.2) -> DataFrame:
+    """(cell, split): the western share of the cells by mean x validates, the eastern share tests.
+
+    Cells are ranked in one small table, not their rows.
+    """
+    cells = df.groupBy(cell.alias("cell")).agg(F.avg(x).alias("mx"))
+    w = Window.orderBy("mx", "cell")
+    i, n = F.row_number().over(w) - 1, F.count(F.lit(1)).over(Window.partitionBy())
+    cells = cells.select("cell", i.alias("i"), n.alias("n"))
+    cut = F.floor(F.col("n") * share)
+    return cells.select("cell", F.when(F.col("i") < cut, "validation").when(F.col("i") >= F.col("n") - cut, "test").otherwise("train").alias("split"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import activity, curation  # noqa: F401  (activity registers its queries)
+from . import activity, curation, selection  # noqa: F401  (the others register their queries with curation)
 
 
 def queries() -> dict:

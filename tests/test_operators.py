@@ -176,3 +176,11 @@ def test_sinks(spark, tmp_path):
     sinks.cross_tab(df, ["z"], f"{tmp_path}/x")
     sinks.write_shards(spark.range(10).coalesce(1), f"{tmp_path}/s", 4)
     assert len(list((tmp_path / "s").glob("part-*"))) == 3
+
+
+def test_sql_functions(spark):
+    from gristmill.functions import sql
+
+    assert sql.register(spark) == ["hamming64", "match_key", "hash_bucket", "haversine_m"]
+    r = spark.sql("SELECT hamming64(-1L, 0L) AS a, match_key('  A  b ') AS b, round(haversine_m(0D, 0D, 0D, 1D)) AS c").first()
+    assert (r.a, r.b, r.c) == (64, "a b", 111195)
