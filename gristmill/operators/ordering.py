@@ -180,3 +180,14 @@ def spatial_holdout(df: DataFrame, x: str, cell: Column, share: float = 0.2) ->
     cells = cells.select("cell", i.alias("i"), n.alias("n"))
     cut = F.floor(F.col("n") * share)
     return cells.select("cell", F.when(F.col("i") < cut, "validation").when(F.col("i") >= F.col("n") - cut, "test").otherwise("train").alias("split"))
+
+
+def farthest_picks(df: DataFrame, keys: list[str], first: list[Column], distance: Callable[[Column], Column], feature: str, tie: str, k: int) -> DataFrame:
+    """The first row in order, then the k - 1 rows farthest from it.
+
+    The distance is to the first pick only, so a window value and a rank are enough.
+    """
+    w = Window.partitionBy(*keys).orderBy(*first)
+    seed = F.first_value(feature).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    d = df.withColumn("__n", F.row_number().over(w)).withColumn("__d", F.when(F.col("__n") == 1, F.lit(float("inf"))).otherwise(distance(seed)))
+    return top_per_key(d, keys, [F.desc("__d"), F.col(tie)], k).drop("__n", "__d")
