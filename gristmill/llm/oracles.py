@@ -55,3 +55,12 @@ e AS (SELECT a, b FROM i JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE
 r AS (SELECT a AS node, b AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
 m AS (SELECT node, min(seen) AS low FROM r GROUP BY node), k AS (SELECT a, count(*) AS links FROM e GROUP BY a)
 SELECT doc_id, n::BIGINT AS n_shingles, class_id, coalesce(links, 0)::BIGINT AS n_links, least(doc_id, coalesce(low, doc_id)) AS component_id FROM n LEFT JOIN m ON doc_id = node LEFT JOIN k ON doc_id = a"""
+
+
+def warc_sql() -> str:
+    """op3: the records that a round trip must give; base32 is taken five bits at a time from the hex digest."""
+    group = "('0x' || substr(h, g * 5 + 1, 5))::BIGINT"
+    four = f"list_reduce(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((({group}) >> s) & 31) + 1, 1)), lambda a, b: a || b)"
+    return f"""WITH p AS (SELECT page_id, coalesce(html, '') AS x, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS top FROM pages)
+SELECT page_id, strlen(x)::BIGINT AS payload_bytes, list_reduce(list_transform(range(8), lambda g: {four}), lambda a, b: a || b) AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM p"""

@@ -98,4 +98,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_ngram_join": oracles.components_sql(), "op7_quality": oracles.quality_sql()}
+    return {"op3_warc": oracles.warc_sql(), "op4_ngram_join": oracles.components_sql(), "op7_quality": oracles.quality_sql()}

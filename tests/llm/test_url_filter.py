@@ -1,4 +1,6 @@
+import math
 import re
+from collections import Counter, defaultdict
 
 from gristmill.llm import queries, url_filter
 
@@ -42,3 +44,61 @@ def test_templates(spark):
     assert {r.template for r in got if "user" in r.path} == {"a.com/user/*/posts/<n>"}
     assert {r.verdict for r in got if r.host == "b.com"} == {"block"} and {r.verdict for r in got if r.host == "c.com"} == {"allow"}
     assert {r.rule for r in got if r.host == "b.com"} == {None}
+
+
+def brute(rows, depth=4, max_kinds=12, min_share=0.02, alpha=4.0, z=1.96):
+    """(page_id, verdict, template) by plain dictionaries, one url at a time."""
+    shape = lambda s: re.sub(r"[0-9]+", "<n>", re.sub(r"(?=[0-9a-fA-F-]*[0-9])[0-9a-fA-F-]{16,}", "<h>", s))
+    end, deep = "\x00", "**"
+    items = []
+    for i, u in rows:
+        host, path = parse(u)
+        parts = [shape(s) for s in re.sub("^/", "", path).split("/")] if path else []
+        seg = [parts[k] if k < len(parts) else end for k in range(depth)]
+        seg[-1] = deep if len(parts) > depth else seg[-1]
+        items.append([i, host, seg, rule(host, path)[1]])
+    for k in range(depth):
+        kids = defaultdict(Counter)
+        for _, host, seg, _ in items:
+            kids[host, *seg[:k]][seg[k]] += 1
+        for it in items:
+            c = kids[it[1], *it[2][:k]]
+            it.append("*" if len(c) > max_kinds and c[it[2][k]] < min_share * sum(c.values()) and it[2][k] not in (end, deep) else it[2][k])
+        for it in items:
+            it[2] = [*it[2][:k], it.pop(), *it[2][k + 1 :]]
+    lab, blk, same, branch, looks = Counter(), Counter(), Counter(), Counter(), defaultdict(set)
+    for _, host, seg, v in items:
+        looks[host, seg[0]].add("/".join(seg[1:]))
+        for key, table in (((host, *seg), None), (tuple(seg), same), ((host, seg[0]), branch)):
+            for name, hit in (("lab", v is not None), ("blk", v == "block")):
+                (table if table is not None else (lab if name == "lab" else blk))[(key, name) if table is not None else key] += hit
+    look = {b: tuple(sorted(s)) for b, s in looks.items()}
+    group = Counter()
+    for (b, name), n in branch.items():
+        group[b[0], look[b], name] += n
+    p = lambda b, n, prior: (b + alpha * prior) / (n + alpha)
+    world = p(sum(blk.values()), sum(lab.values()), 0.5)
+    out = []
+    for i, host, seg, v in items:
+        b = (host, seg[0])
+        lb, bb, lg, bg = branch[b, "lab"], branch[b, "blk"], group[host, look[b], "lab"], group[host, look[b], "blk"]
+        if lb and abs(bb / lb - bg / lg) > z * math.sqrt(bg / lg * (1 - bg / lg) * (1 / lb + 1 / lg)):
+            lg, bg = lb, bb
+        key = (host, *seg)
+        purity = p(blk[key], lab[key], p(bg, lg, p(same[tuple(seg), "blk"], same[tuple(seg), "lab"], world)))
+        out.append((i, v or ("block" if purity >= 0.5 else "allow"), host + "".join("/" + s for s in seg if s != end), round(purity, 9)))
+    return sorted(out)
+
+
+def test_query_whole(spark, sf):
+    rows = [(r.page_id, r.url) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    got = queries.op2_url_filter(spark, sf).collect()
+    assert sorted((r.page_id, r.verdict, r.template, round(r.purity, 9)) for r in got) == brute(rows)
+
+
+def test_against_brute_force(spark):
+    urls = [f"http://a.com/u{chr(97 + i % 26)}{chr(97 + i // 26)}z/p/{i}/x/y" for i in range(120)] + [f"http://a.com/ads/{i}" for i in range(9)] + [f"http://b.com/{s}/en/{i}" for s in ("ads", "q", "r") for i in range(7)]
+    urls += ODD + [f"http://example.com/{s}/0123456789abcdef0{i}" for s in ("en", "fr", "dead-beef") for i in range(5)] * 2
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_filter.filter_urls(df, RULES).collect()
+    assert sorted((r.page_id, r.verdict, r.template, round(r.purity, 9)) for r in got) == brute(list(enumerate(urls)))
