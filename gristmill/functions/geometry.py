@@ -63,3 +63,34 @@ def cell(x: Column, y: Column, size: float) -> Column:
 def fold16(actions: Column) -> Column:
     """Base-16 fold of a list of moves."""
     return F.aggregate(actions, F.lit(0).cast("long"), lambda a, x: a * 16 + x)
+
+
+def _cross(a: list[Column], b: list[Column]) -> list[Column]:
+    return [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
+
+
+def _dot(a: list[Column], b: list[Column]) -> Column:
+    return a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
+
+
+def _unit(a: list[Column]) -> list[Column]:
+    n = F.sqrt(_dot(a, a))
+    return [x / n for x in a]
+
+
+def project(point: list[Column], eye: list[Column], target: list[Column], focal_px: float, width: int, height: int) -> Column:
+    """(u, v, depth) of a point in a pinhole camera that looks at a target, z up; u, v null behind it."""
+    forward = _unit([t - e for t, e in zip(target, eye, strict=True)])
+    right = _unit(_cross(forward, [F.lit(0.0), F.lit(0.0), F.lit(1.0)]))
+    down = _cross(forward, right)
+    ray = [p - e for p, e in zip(point, eye, strict=True)]
+    z = _dot(ray, forward)
+    seen = lambda c: F.when(z > 0, c)
+    return F.struct(seen(focal_px * _dot(ray, right) / z + width / 2).alias("u"), seen(focal_px * _dot(ray, down) / z + height / 2).alias("v"), z.alias("depth"))
+
+
+def rotated(point: list[Column], q: list[Column]) -> list[Column]:
+    """A vector turned by a unit quaternion w, x, y, z."""
+    w, axis = q[0], q[1:]
+    t = [2 * c for c in _cross(axis, point)]
+    return [p + w * a + b for p, a, b in zip(point, t, _cross(axis, t), strict=True)]
