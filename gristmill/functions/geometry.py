@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,3 +96,26 @@ def rotated(point: list[Column], q: list[Column]) -> list[Column]:
     w, axis = q[0], q[1:]
     t = [2 * c for c in _cross(axis, point)]
     return [p + w * a + b for p, a, b in zip(point, t, _cross(axis, t), strict=True)]
+
+
+#: Fixed values of the GRS 80 ellipsoid and of the European equal-area grid (EPSG:3035).
+GRS80_A, GRS80_F = 6_378_137.0, 1 / 298.257222101
+GRID_LAT, GRID_LON, GRID_EAST, GRID_NORTH = 52.0, 10.0, 4_321_000.0, 3_210_000.0
+
+
+def grid_to_lonlat(east: Column, north: Column) -> Column:
+    """(lon, lat) in degrees of a point of the European equal-area grid."""
+    e2 = GRS80_F * (2 - GRS80_F)
+    e = math.sqrt(e2)
+    q = lambda s: (1 - e2) * (s / (1 - e2 * s * s) + math.atanh(e * s) / e)
+    lat0 = math.radians(GRID_LAT)
+    radius = GRS80_A * math.sqrt(q(1.0) / 2)
+    b0 = math.asin(q(math.sin(lat0)) / q(1.0))
+    d = GRS80_A * math.cos(lat0) / math.sqrt(1 - e2 * math.sin(lat0) ** 2) / (radius * math.cos(b0))
+    x, y = (east - GRID_EAST) / d, (north - GRID_NORTH) * d
+    rho = F.sqrt(x * x + y * y)
+    c = 2 * F.asin(rho / (2 * radius))
+    beta = F.asin(F.cos(c) * math.sin(b0) + F.when(rho > 0, y * F.sin(c) * math.cos(b0) / rho).otherwise(F.lit(0.0)))
+    lon = math.radians(GRID_LON) + F.when(rho > 0, F.atan2(x * F.sin(c), rho * math.cos(b0) * F.cos(c) - y * math.sin(b0) * F.sin(c))).otherwise(F.lit(0.0))
+    lat = beta + (e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040) * F.sin(2 * beta) + (23 * e2**2 / 360 + 251 * e2**3 / 3780) * F.sin(4 * beta) + 761 * e2**3 / 45360 * F.sin(6 * beta)
+    return F.struct(F.degrees(lon).alias("lon"), F.degrees(lat).alias("lat"))

@@ -105,3 +105,42 @@ def page_of(rows: DataFrame, reviews: DataFrame, key: str, state: str, order: st
     latest = reviews.groupBy(key).agg(F.max_by("decision", "reviewed_at").alias("decision"))
     found = rows.join(latest, key, "left").withColumn("decision", F.coalesce("decision", F.lit("unreviewed"))).where(F.col("decision") == state)
     return found.orderBy(order).offset(offset).limit(limit), found.count()
+
+
+def expect_rows(df: DataFrame, n: int) -> DataFrame:
+    """``df`` if it has exactly ``n`` rows, as a pinned dataset must."""
+    got = df.count()
+    if got != n:
+        raise ValueError(f"expected {n} rows, found {got}")
+    return df
+
+
+def find_unique(spark: SparkSession, root: str, name: str) -> str:
+    """The path of the one file of this name below ``root``, else an error (A25). No content is read."""
+    found = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(root).select("path").orderBy("path").limit(5).collect()]
+    if len(found) != 1:
+        raise ValueError(f"{name!r} is there {len(found)} times below {root}: {found}")
+    return found[0]
+
+
+#: Depth of ``coordinates`` in the geometry kinds of GeoJSON (fixed values of the format).
+DEPTHS = {"Point": 0, "MultiPoint": 1, "LineString": 1, "MultiLineString": 2, "Polygon": 2, "MultiPolygon": 3}
+
+
+def geojson_points(spark: SparkSession, path: str) -> DataFrame:
+    """``file, feature, kind, properties, lon, lat``: the vertices of all features.
+
+    A file is one document of the JSON source; coordinates stay text until their depth is known.
+    """
+    schema = "features array<struct<properties: string, geometry: struct<type: string, coordinates: string>>>"
+    f = spark.read.schema(schema).option("multiLine", True).json(path).select(F.input_file_name().alias("file"), F.posexplode("features").alias("feature", "f"))
+    text, kind = F.col("f.geometry.coordinates"), F.col("f.geometry.type")
+    points = F.lit(None)
+    for name, depth in DEPTHS.items():
+        nested = F.from_json(text, "array<" * (depth + 1) + "double" + ">" * (depth + 1))
+        flat = F.array(nested) if depth == 0 else nested
+        for _ in range(depth - 1):
+            flat = F.flatten(flat)
+        points = F.when(kind == name, flat).otherwise(points)
+    rows = f.select("file", "feature", kind.alias("kind"), F.col("f.properties").alias("properties"), F.explode(points).alias("p"))
+    return rows.select("file", "feature", "kind", "properties", F.get("p", 0).alias("lon"), F.get("p", 1).alias("lat"))

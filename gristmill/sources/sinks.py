@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,3 +74,23 @@ def coco_tables(rows: DataFrame, key: str, boxes: str, classes: str) -> tuple[Da
     ann = ann.withColumn("__h", F.sha2(F.concat_ws(":", "image_id", "pos"), 256))
     ann = numbered(ann, ["__h", "image_id", "pos"], "__no").withColumn("annotation_id", F.col("__no") + 1).drop("__no", "__h", "pos")
     return images.drop(boxes, classes), ann
+
+
+def zip_archives(df: DataFrame, shard: str, name: str, content: str) -> DataFrame:
+    """``shard, archive, sha256``: the rows of each shard as a stored zip, members by name, fixed
+    dates, so that equal rows give equal bytes (B8).
+
+    A shard is held in one task: number rows by ``byte_shards``, which bounds its size.
+    """
+    first_date = (1980, 1, 1, 0, 0, 0)  # the earliest that the format can hold
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for member, data in sorted(zip(pdf["member"], pdf["data"], strict=True)):
+                z.writestr(zipfile.ZipInfo(member, first_date), bytes(data or b""))
+        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "archive": [out.getvalue()]})
+
+    kind = dict(df.dtypes)[shard]
+    rows = df.select(F.col(shard).alias("shard"), F.col(name).alias("member"), F.col(content).cast("binary").alias("data"))
+    return rows.groupBy("shard").applyInPandas(run, f"shard {kind}, archive binary").withColumn("sha256", F.sha2("archive", 256))

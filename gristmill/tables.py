@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 NAMES = (
@@ -10,8 +12,11 @@ NAMES = (
 ).split()
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table; column pruning and filters reach the parquet scan."""
+def load(spark: SparkSession, sf_dir: str, name: str, reader: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
+    """One input table; column pruning and filters reach the parquet scan. ``reader`` may stand in
+    for that scan and gets the path without its suffix (P1)."""
     if name not in NAMES:
         raise ValueError(f"unknown table {name!r}")
+    if reader:
+        return reader(spark, f"{sf_dir.rstrip('/')}/{name}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
