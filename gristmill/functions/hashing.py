@@ -85,8 +85,11 @@ def simhash(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     words = df.select(F.col(id_col).alias("id"), F.explode(F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("w"))
     h = words.select("id", hex64(F.substring(F.md5(F.col("w").cast("binary")), 1, 16)).alias("h"))
-    votes = h.groupBy("id").agg(*[F.sum(F.when(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)).alias(f"v{i}") for i in range(64)])
+    # Bits i and i + 32 are counted in the halves of one sum: exact below 2**31 words a text.
+    low = F.lit((1 << 32) - 1)
+    ones = h.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit((1 << 32) + 1))).alias(f"c{i}") for i in range(32)])
     sig = F.lit(0).cast("long")
-    for i in range(64):
-        sig = sig.bitwiseOR(F.when(F.col(f"v{i}") > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return votes.select("id", sig.alias("sig"))
+    for i in range(32):
+        for bit, c in ((i, F.col(f"c{i}").bitwiseAND(low)), (i + 32, F.shiftrightunsigned(f"c{i}", 32))):
+            sig = sig.bitwiseOR(F.when(2 * c > F.col("n"), F.shiftleft(F.lit(1).cast("long"), bit)).otherwise(F.lit(0).cast("long")))
+    return ones.select("id", sig.alias("sig"))
