@@ -15,7 +15,7 @@ large group is ever a row of a table; only a spanning forest of the links leaves
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -427,6 +427,23 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: s
     The result is exact up to collisions of 64-bit hashes. At no place does a table hold all
     pairs of a group; the driver gets the fixed-size table of frequent shingles and a filter.
     """
+    slim, classes = _linked(docs, words, num, den, id_col, text_col)
+    classes = classes.select("sig", F.col("k").alias("class_k"), "n_links", "component_id")
+    shown = lambda c: F.nullif(F.coalesce(F.col(c), F.col("k")), F.lit(NO_ID))
+    return slim.join(classes, "sig", "left").select(
+        F.nullif(F.col("k"), F.lit(NO_ID)).alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        shown("class_k").alias("class_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        shown("component_id").alias("component_id"),
+    )
+
+
+def _linked(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(k, n, sig) of every row, and (sig, k, n_links, component_id, component) of every distinct set.
+
+    ``component`` tells components apart also where two of them have the same smallest id.
+    """
     spark = docs.sparkSession
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # The region holds somewhat more than the shingles of a prefix, so that few sets run beyond it.
@@ -476,24 +493,40 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: s
     linked = links.join(found, links["sig"] == found["node"]).select("sig", "links", "component").join(classes, "sig")
     linked = written(linked, "linked")
     least = linked.groupBy("component").agg(F.min("k").alias("component_id"))
-    linked = linked.join(least, "component").select("sig", "links", "component_id")
-    classes = classes.join(linked, "sig", "left").select("sig", F.col("k").alias("class_k"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "k").alias("component_id"))
-    shown = lambda c: F.nullif(F.coalesce(F.col(c), F.col("k")), F.lit(NO_ID))
-    return slim.join(classes, "sig", "left").select(
-        F.nullif(F.col("k"), F.lit(NO_ID)).alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        shown("class_k").alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        shown("component_id").alias("component_id"),
-    )
+    linked = linked.join(least, "component").select("sig", "links", "component_id", "component")
+    links = (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    return slim, classes.join(linked, "sig", "left").select("sig", "k", links, F.coalesce("component_id", "k").alias("component_id"), F.coalesce("component", "sig").alias("component"))
+
+
+def _signatures(words: int) -> Callable:
+    @F.arrow_udf("long")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([signature(h) if len(h) else None for h in sets_of(texts, words)], pa.int64())
+
+    return run
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; columns as they are.
+    """One row of each component of ``link``: one of its smallest id; columns as they are.
 
-    Of rows that repeat a kept id and text one stays; a text without words stays, and so does a
-    row without an id.
+    The rows are chosen by id and shingle set, so a row stays or goes by its own text where others
+    repeat its id. A null id counts as the largest. If the smallest id of a component has several
+    sets, the least signature stays; if rows repeat the id and the set, the least row does, by
+    those of its columns that can be ordered. Every text without words stays.
     """
-    found = link(docs, words, num, den, id_col, text_col)
-    drop = found.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(drop, docs[id_col] == drop["__drop"], "left_anti")
+    slim, classes = _linked(docs, words, num, den, id_col, text_col)
+    first = classes.groupBy("component").agg(F.min(F.struct("k", "sig")).alias("first")).select("component", "first")
+    held = slim.where("sig is not null").groupBy("k", "sig").agg(F.count(F.lit(1)).alias("rows"))
+    first = classes.select("sig", "component").join(first, "component").select("sig", "first")
+    stays = F.struct("k", "sig") == F.col("first")
+    marked = held.join(first, "sig").select(F.col("k").alias("__k"), F.col("sig").alias("__sig"), stays.alias("stays"), "rows").where("not stays or rows > 1")
+    marked = written(marked, "marked")
+    rows = docs.select(*docs.columns, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__k"), _signatures(words)(F.col(text_col).cast("string")).alias("__sig"))
+    key = ["__k", "__sig"]
+    once = rows.join(marked.select(*key), key, "left_anti").select(*docs.columns)
+    again = marked.where("stays").select(*key)
+    if again.isEmpty():
+        return once
+    ordered = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    least = rows.join(again, key, "left_semi").groupBy(*key).agg(F.min_by(F.struct(*docs.columns), F.struct(*ordered)).alias("__row"))
+    return once.unionAll(least.select("__row.*"))

@@ -100,3 +100,21 @@ def test_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = queries.op4_ngram_join(spark, sf).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(a, b, e) for a, b, _, _, e in brute(rows, 3, 90, 100)]
+
+
+def test_keep_one_goes_by_rows(spark):
+    a = "one two three four five six seven eight nine ten eleven twelve"
+    near, b, c = a.replace("twelve", "twelve thirteen"), "quite another text that no other row holds at all", "a text that only rows without an id hold here"
+    rows = [(3, a, "x"), (3, a, "y"), (3, a.upper(), "z"), (7, near, "n"), (7, b, "own"), (8, b + "!", "own too"), (7, c + " and more words", "p"), (None, a, "copy"), (None, c, "q"), (None, c, "r"), (7, "", "s"), (7, "", "t"), (None, None, "u"), (None, None, "v")]
+    df = spark.createDataFrame([(*r, {r[2]: 1}) for r in rows] * 2, "doc_id long, text string, tag string, m map<string, int>").repartition(5)
+    kept = ngram_join.keep_one(df, 3, 8, 10)
+    got = sorted((r.doc_id or 0, r.text or "", r.tag) for r in kept.collect())
+    want = [(3, a.upper(), "z"), (7, b, "own"), (8, b + "!", "own too"), (7, c + " and more words", "p"), (0, c, "q")] + [(7, "", "s"), (7, "", "t"), (0, "", "u"), (0, "", "v")] * 2
+    assert kept.columns == df.columns and got == sorted(want)
+
+
+def test_keep_one_of_components_with_one_smallest_id(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(7, a), (9, a + " x"), (7, b), (8, b + " x"), (7, b + " y")]
+    got = sorted(tuple(r) for r in ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 5, 8, 10).collect())
+    assert len(got) == 2 and got[0] == (7, a) and got[1] in [(7, b), (7, b + " y")]
