@@ -1,6 +1,6 @@
 """License scan (operator 9): DataFrame functions only.
 
-Sentences of a file are compared with licence templates by sparse TF-IDF cosine; a file without a
+Sentences of a file, also those wrapped over several lines, are compared with licence templates by sparse TF-IDF cosine; a file without a
 statement of its own inherits from the nearest ancestor directory that holds a licence file.
 """
 
@@ -13,6 +13,16 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The usual header of the GNU licences, and which they are.
+_FREE = "you can redistribute it and/or modify it under the terms of the {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+_GNU = (
+    ("GPL-2.0", "General Public License", "2"),
+    ("GPL-3.0", "General Public License", "3"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "Lesser General Public License", "3"),
+    ("AGPL-3.0", "Affero General Public License", "3"),
+)
+_SPDX = ("0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0")
 #: Fixed values: (licence, statement as it stands in headers and licence files).
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -37,10 +47,21 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("proprietary", "All rights reserved."),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+    ("Apache-2.0", "The ASF licenses this file to You under the Apache License, Version 2.0"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    *[(name, _FREE.format("GNU " + kind, number)) for name, kind, number in _GNU],
+    *[(name, f"SPDX-License-Identifier: {name}") for name in _SPDX],
 )
 TOKEN = "[a-z0-9]+"
 #: Ends of the units compared: line ends and white space after a sentence.
 UNIT = r"\n|(?<=[.!?;])\s+"
+#: A statement may be wrapped over so many lines; comment marks before a line's text.
+LINES, MARKS = 6, r"^[\s#*/;%!<>|-]+|^(?i:dnl|rem|//|--)\s+"
 LICENCE_FILE = r"(?i)(^|/)(un)?(licen[cs]e|copying|notice)[^/]*$"
 
 
@@ -52,6 +73,22 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
 
 
+def parts(text: Column, has) -> Column:
+    """What is compared with the templates: the units of ``text``, and all runs of 2 to ``LINES``
+    consecutive lines without their comment marks and blank lines, cut before and after sentences.
+
+    A run is made only where one of its lines ``has`` an anchor word: a cheap test first.
+    """
+    units = F.filter(F.split(text, UNIT), has)
+    lines = F.filter(F.transform(F.split(text, r"\r?\n"), lambda x: F.trim(F.regexp_replace(x, MARKS, ""))), lambda x: x != "")
+    at = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: has(F.get(lines, i)))
+    starts = F.array_distinct(F.flatten(F.transform(at, lambda i: F.sequence(F.greatest(i - (LINES - 1), F.lit(0)), i))))
+    runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(2), F.lit(LINES)), lambda k: F.array_join(F.slice(lines, i + 1, k), " "))))
+    sentences = F.flatten(F.transform(runs, lambda r: F.array_append(F.split(r, r"(?<=[.!?;:])\s+"), r)))
+    wrapped = F.when(F.size(lines) > 1, F.filter(sentences, has)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(units, wrapped))
+
+
 def frequencies(texts: DataFrame, words: list[str]) -> tuple[int, dict[str, int]]:
     """(texts, texts that hold each word) over all rows of ``texts`` (a column ``text``)."""
     held = F.array_intersect(F.array_distinct(tokens(F.col("text"))), F.array(*[F.lit(w) for w in words]))
@@ -95,7 +132,7 @@ def statements(files: DataFrame, least: float = 0.75, templates: tuple = TEMPLAT
     idf, vectors = weights(n, df, templates)
     pattern = r"(?<![a-z0-9])(" + "|".join(anchors(vectors, least)) + r")(?![a-z0-9])"
     has = lambda u: F.lower(u).rlike(pattern)
-    units = texts.where(has(F.col("text"))).select("path", F.posexplode(F.array_distinct(F.filter(F.split("text", UNIT), has))).alias("pos", "unit"), F.xxhash64("text").alias("version"))
+    units = texts.where(has(F.col("text"))).select("path", F.posexplode(parts(F.col("text"), has)).alias("pos", "unit"), F.xxhash64("text").alias("version"))
     key = ["path", "version", "pos"]
     tf = units.select(*key, F.explode(tokens(F.col("unit"))).alias("t")).groupBy(*key, "t").agg(F.count(F.lit(1)).alias("tf"))
     # Both tables are the templates': some hundred rows whatever the input.

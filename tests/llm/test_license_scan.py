@@ -70,3 +70,39 @@ def test_query_whole(spark, sf):
     got = queries.op9_license_scan(spark, sf).collect()
     assert sorted(((r.path, r.own_license, r.license, r.inherited_from) for r in got), key=str) == brute(files)
     assert len(got) == docs.count() and any(r.own_license for r in got) and any(r.inherited_from is not None for r in got)
+
+
+BSD = """Copyright (c) 2020, Somebody
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+import os
+"""
+ASF = """/*
+ * Licensed to the Apache Software Foundation (ASF) under one or more
+ * contributor license agreements.  See the NOTICE file distributed with
+ * this work for additional information regarding copyright ownership.
+ * The ASF licenses this file to You under the Apache License, Version 2.0
+ * (the "License"); you may not use this file except in compliance with
+ * the License.
+ */
+"""
+WRAPPED = [
+    ("bsd/LICENSE", BSD, "BSD-3-Clause"), ("gpl/a.py", GPL, "GPL-3.0"), ("asf/A.java", ASF, "Apache-2.0"),
+    ("gnu/x.txt", "This work is licensed under the GNU\nGeneral Public License, version 3.", "GPL-3.0"),
+    ("lgpl/COPYING", "                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n", "LGPL-2.1"),
+    ("spdx/a.c", "// SPDX-License-Identifier: MIT\nint main;", "MIT"), ("plain/a.txt", "No statement\nof any kind\nstands here.", None),
+]
+
+
+def test_wrapped_statements(spark):
+    filler = [(f"o/{i}", f"other words {i}\nof no licence at all") for i in range(40)]
+    df = spark.createDataFrame([(p, t) for p, t, _ in WRAPPED] + filler + [("bsd/src/a.c", "int a;")], "path string, text string")
+    got = {r.path: (r.own_license, r.license) for r in L.scan(df).collect()}
+    assert {p: got[p][0] for p, _, _ in WRAPPED} == {p: name for p, _, name in WRAPPED}
+    assert got["bsd/src/a.c"] == (None, "BSD-3-Clause") and all(got[p] == (None, None) for p, _ in filler)
