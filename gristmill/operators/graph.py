@@ -18,6 +18,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     shared folder once a round. Rounds grow with the logarithm of the longest path.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
+    e = written(e.distinct(), "given")
     nodes = e.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     nodes = written(nodes, "nodes")
     e = written(e.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
