@@ -7,9 +7,12 @@ share at least ``l`` shingles of their prefixes when both prefixes are ``l - 1``
 needed for one; each text chooses the ``l`` with the least estimated cost of scanning and
 verifying candidates, and a pair must share as many as the smaller ``l`` of the two asks for.
 
-Texts with equal sets are one class from the start. Candidates are joined into families, and
-inside a family every pair is verified exactly by blocks of sparse products, so no pair of a
-large group is ever a row of a table; only a spanning forest of the links leaves a block.
+Texts with equal sets are one class from the start. Shared shingles are looked for in three steps,
+each exact and each on fewer texts: lists of rare shingles propose pairs, which must share enough
+of them; texts that common shingles could join are compared by their prefixes alone; what is left
+is verified with whole sets. The last two work on groups cut into blocks by set size, and compare
+only blocks whose sizes may link, by sparse products, so no pair of a large group is ever a row of
+a table; only a spanning forest of the links leaves a block.
 """
 
 from __future__ import annotations
@@ -20,29 +23,35 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from ..session import written
+from . import names
 from . import text as kernel
 
 U = np.uint64
 #: Document key of a null id; sorts after all others.
 NO_ID = (1 << 63) - 1
-#: Longest match requirement that a text may choose.
-MOST = 4
+#: Longest match requirement that a text may choose; those with common shingles in their prefix do.
+MOST = 8
 #: Shingles held by a task before it hands them on.
 FLUSH = 1 << 20
 #: A shingle seen this often in one flush is a candidate for the table of frequent ones ...
 OFTEN = 8
 #: ... which holds at most this many, and only those with this many texts.
 FREQUENT, FREQUENT_FROM = 200_000, 64
-#: Buckets up to this size propose pairs; larger ones join their texts to one of them.
-PAIRS_UP_TO = 8
-#: Texts of a family that are verified against each other in one go.
+#: A shingle of this many texts at most proposes pairs; one of more texts joins them by a node.
+PAIRS_UP_TO = 16
+#: Texts of a group that are compared with each other in one go.
 BLOCK = 512
-BLOOM_BITS = 1 << 23
+#: Routed shingles, or list entries, that a task takes at a time.
+TASK_ROWS = 2_000_000
+#: Shingles of verified sets that a task takes at a time.
+TASK_SHINGLES = 1_000_000
+#: Bits of the filter over verified texts: eight a text, within these powers of two.
+BLOOM_LEAST, BLOOM_MOST = 20, 28
 #: Share of all hashes in the low region beyond what prefixes need.
 MARGIN = 0.1
 
@@ -58,6 +67,32 @@ def signature(h: np.ndarray) -> int:
     return int(kernel.mix(np.array([total], dtype=U)).view(np.int64)[0])
 
 
+def parity(h: np.ndarray) -> bytes:
+    """One bit for each bin of hashes, about a bit a shingle: whether the bin holds an odd number.
+
+    The bits in which two such maps differ are at most the shingles that one of the sets lacks.
+    """
+    bits = 1 << max(6, (len(h) - 1).bit_length())
+    return np.packbits(np.bincount((h & U(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def apart(maps: list[bytes]) -> np.ndarray:
+    """In how many bits the maps of each two sets differ, the longer one folded to the shorter."""
+    size = np.array([len(m) for m in maps])
+    out = np.zeros((len(maps), len(maps)), dtype=np.int64)
+    for width in np.unique(size).tolist():
+        at = np.flatnonzero(size >= width)
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(maps[i], np.uint8).reshape(-1, width), axis=0) for i in at.tolist()])
+        ones = np.unpackbits(folded, axis=1).astype(np.float32)
+        held = ones.sum(axis=1)
+        far = (held[:, None] + held[None, :] - 2 * (ones @ ones.T)).astype(np.int64)
+        short = np.minimum(size[at][:, None], size[at][None, :]) == width
+        block = out[np.ix_(at, at)]
+        block[short] = far[short]
+        out[np.ix_(at, at)] = block
+    return out
+
+
 def sets_of(column: pa.Array, words: int) -> Iterator[np.ndarray]:
     """The shingle set of each text of an Arrow column."""
     for _, _, data, offsets in kernel.blocks(column):
@@ -83,13 +118,14 @@ def _region(h: np.ndarray, limit: int, num: int, den: int) -> tuple[np.ndarray,
 
 
 def _slim(words: int, num: int, den: int, limit: int):
-    """Per text its key, set size and signature; rows with n = -1 hold often seen shingles."""
-    names, types = ["k", "n", "sig", "often"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    """Per text its key, set size and signature, with its parity map where the set is new to the
+    task; rows with n = -1 hold often seen shingles."""
+    names, types = ["k", "n", "sig", "map", "often"], [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def often(held: dict[int, np.ndarray]) -> tuple:
         t, c = np.unique(np.concatenate(list(held.values())), return_counts=True)
         keep = c >= OFTEN
-        return None, -1, None, np.concatenate((t[keep], c[keep].astype(U))).tobytes()
+        return None, -1, None, None, np.concatenate((t[keep], c[keep].astype(U))).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -98,8 +134,9 @@ def _slim(words: int, num: int, den: int, limit: int):
             rows = []
             for k, h in zip(b.column(0).to_pylist(), sets_of(b.column(1), words), strict=True):
                 sig = signature(h) if len(h) else None
-                rows.append((k, len(h), sig, None))
-                if sig is not None and sig not in held:
+                new = sig is not None and sig not in held
+                rows.append((k, len(h), sig, parity(h) if new else None, None))
+                if new:
                     held[sig] = _region(h, limit, num, den)[0]
                     count += len(held[sig])
                     if count >= FLUSH:
@@ -285,8 +322,25 @@ def choose(size: int, singles: int, df: np.ndarray, num: int, den: int) -> tuple
     return best[1], best[2]
 
 
+def shared(n: np.ndarray, slack: np.ndarray, n2: np.ndarray, slack2: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Least number of shared prefix shingles of linked sets of ``n`` and ``n2`` shingles.
+
+    ``slack``: prefix length less set size. Of an overlap of ``o`` at most ``-slack`` lie beyond the
+    prefix that ends first, and the others are in both prefixes.
+    """
+    overlap = -(-num * (n + n2) // (num + den))
+    return overlap + np.minimum(slack, slack2)
+
+
 def _prefixes(num: int, den: int):
-    names, types = ["token", "sig", "n", "match"], [pa.int64()] * 4
+    """One row per set that may have a partner: its size, its slack, its prefix without singles.
+
+    ``rare``: shingles of PAIRS_UP_TO texts at most, or of an unknown number; ``common``: the
+    others, the most common one last; ``more``: shingles that it may share other than as a pair of
+    a list; ``nodes``: of ``common``, those that join it with others. Sets that share common
+    shingles alone share MOST of them, hence one that is not among the MOST - 1 last of either.
+    """
+    names, types = ["sig", "n", "slack", "more", "nodes", "rare", "common"], [pa.int64()] * 5 + [pa.binary()] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, high, low, code = _gather(batches, ANSWER)
@@ -303,38 +357,148 @@ def _prefixes(num: int, den: int):
         known = np.add.reduceat(((code > LOW) & (code < UNKNOWN)).astype(np.int64), first)
         singles = low_count - known
         df = decoded(code)
+        common = (code > PAIRS_UP_TO) & (code < UNKNOWN)
         overlap = -(-num * size // den)
         live = singles < size - overlap + 1  # others have a prefix that no other set shares
         last = np.append(first[1:], len(sigs))
-        out: list[list[np.ndarray]] = [[], [], [], []]
+        rows = []
         for i in np.flatnonzero(live).tolist():
-            a, b = int(first[i]) + 2, int(last[i])
-            match, take = choose(int(size[i]), int(singles[i]), df[a:b], num, den)
-            got = tokens[a : a + take] if take > 0 else tokens[:0]
-            for c, v in zip(out, (got, np.full(len(got), sigs[a - 1]), np.full(len(got), size[i]), np.full(len(got), match)), strict=True):
-                c.append(v)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(out, types, strict=True)], names=names)
+            a, b, n = int(first[i]) + 2, int(last[i]), int(size[i])
+            match, take = choose(n, int(singles[i]), df[a:b], num, den)
+            if common[a : a + take].any():
+                match = min(MOST, int(overlap[i]))
+                take = min(n, n - int(overlap[i]) + match) - int(singles[i])
+            got, often = tokens[a : a + take], common[a : a + take]
+            many = int(often.sum())
+            spare = MOST - 1 if needed(needed(n, num, den), num, den) >= MOST else 0  # its least partner's overlap
+            more = many + int((code[a : a + take] == UNKNOWN).sum())
+            rows.append((int(sigs[a - 1]), n, min(0, match - int(overlap[i])), more, max(0, many - spare), got[~often].tobytes(), got[often].tobytes()))
+        if rows:
+            yield _batch(names, types, rows)
 
     return run
 
 
-def _probes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rare shingles of each prefix as rows."""
+    for b in batches:
+        tokens = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in b.column("rare")]
+        times = [len(t) for t in tokens]
+        rest = [np.repeat(b.column(c).to_numpy(zero_copy_only=False), times) for c in ("sig", "n", "slack", "more")]
+        cols = [np.concatenate(tokens) if tokens else np.zeros(0, np.int64), *rest]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["token", "sig", "n", "slack", "more"])
+
+
+def node_of(tokens: np.ndarray) -> np.ndarray:
+    """A graph node for each shingle, unlike any set's."""
+    return kernel.mix(tokens.view(U) ^ U(0x7F4A7C159E3779B9)).view(np.int64)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """An edge from a set to the node of each common shingle that joins it."""
+    for b in batches:
+        tokens = [np.frombuffer(x.as_buffer(), dtype=np.int64)[:n] for x, n in zip(b.column("common"), b.column("nodes").to_pylist(), strict=True)]
+        sig = np.repeat(b.column("sig").to_numpy(zero_copy_only=False), [len(t) for t in tokens])
+        yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node_of(np.concatenate(tokens)) if tokens else sig)], names=["src", "dst"])
+
+
+def _proposed(num: int, den: int):
+    """Pairs of each list, and how many lists they must share at least; a long list (its shingles'
+    number was unknown) gives links to its least set instead, which hold by themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(5)] for b in batches]
+        if not got:
+            return
+        token, *rest = (np.concatenate(c) for c in zip(*got, strict=True))
+        order = np.lexsort((rest[0], token))
+        token, rest = token[order], [c[order] for c in rest]
+        first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else token
+        length = np.diff(np.append(first, len(token)))
+        for c in range(2, PAIRS_UP_TO + 1):
+            of = first[length == c]
+            if not len(of):
+                continue
+            x, y = np.triu_indices(c, 1)
+            x, y = (of[:, None] + x).ravel(), (of[:, None] + y).ravel()
+            (a, n, s, m), (b, n2, s2, m2) = ([col[i] for col in rest] for i in (x, y))
+            need = np.maximum(shared(n, s, n2, s2, num, den) - np.minimum(m, m2), 1)
+            keep = den * np.minimum(n, n2) >= num * np.maximum(n, n2)
+            yield pa.RecordBatch.from_arrays([pa.array(v[keep]) for v in (a, b, need)], names=["src", "dst", "need"])
+        long = np.repeat(length > PAIRS_UP_TO, length)
+        hub = np.repeat(rest[0][first], length) if len(first) else rest[0]
+        yield pa.RecordBatch.from_arrays([pa.array(rest[0][long]), pa.array(hub[long]), pa.array(np.ones(int(long.sum()), np.int64))], names=["src", "dst", "need"])
+
+    return run
+
+
+def _blocked(members: DataFrame, num: int, den: int) -> DataFrame:
+    """``members`` (family, sig, n, ...) once for each pair of blocks that it takes part in: adds
+    ``own, i, j``. Blocks hold about BLOCK members of a family, in order of set size; a pair of
+    blocks stands for those whose sizes may link."""
+    counts = members.groupBy("family", "n").agg(F.count(F.lit(1)).alias("here"))
+    before = F.sum("here").over(Window.partitionBy("family").orderBy("n")) - F.col("here")
+    counts = counts.select("family", "n", "here", before.alias("before"))
+    own = F.floor((F.col("before") + F.pmod(F.xxhash64("sig"), F.col("here"))) / BLOCK).cast("int")
+    placed = members.join(counts, ["family", "n"]).withColumn("own", own)
+    blocks = placed.groupBy("family", "own").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    table = F.array_sort(F.collect_list(F.struct("own", "lo", "hi")))
+    family = blocks.groupBy("family").agg(table.alias("table"))  # an entry for BLOCK members
+    family = family.select("family", F.explode("table").alias("b"), "table")
+    with_ = F.filter("table", lambda t: F.when(t["own"] <= F.col("b.own"), den * t["hi"] >= num * F.col("b.lo")).otherwise(den * F.col("b.hi") >= num * t["lo"]))
+    family = family.select("family", F.col("b.own").alias("own"), F.transform(with_, lambda t: t["own"]).alias("with"))
+    out = placed.join(family, ["family", "own"]).withColumn("with", F.explode("with"))
+    return out.withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with")).drop("here", "before", "with")
+
+
+def _grouped(rows: DataFrame, weight: int, task: int) -> DataFrame:
+    """Adds ``g``: pairs of blocks are groups of their own, families of one block are dealt to
+    groups of about ``task`` out of all ``weight``."""
+    single = F.pmod(F.xxhash64("family"), F.lit(max(8, -(-weight // task))))
+    return rows.withColumn("g", F.when((F.col("i") == 0) & (F.col("j") == 0), single).otherwise(F.xxhash64("family", "i", "j")))
+
+
+def _candidates(num: int, den: int):
+    """Sets of a pair of blocks joined where their prefixes share enough and their maps differ little."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, g in pdf.drop_duplicates(["family", "i", "j", "sig"]).groupby(["family", "i", "j"], sort=False):
+            sets = [np.frombuffer(x + y, dtype=np.int64) for x, y in zip(g["rare"], g["common"], strict=True)]
+            n, slack = g["n"].to_numpy(np.int64), g["slack"].to_numpy(np.int64)
+            need = shared(n[:, None], slack[:, None], n[None, :], slack[None, :], num, den)
+            differ = n[:, None] + n[None, :] + 2 * (-num * (n[:, None] + n[None, :]) // (num + den))  # of linked sets at most
+            linked = (overlaps(sets) >= np.maximum(need, 1)) & (apart(g["map"].tolist()) <= differ)
+            np.fill_diagonal(linked, False)
+            root = _roots(linked)
+            joined = root != np.arange(len(root))
+            sig = g["sig"].to_numpy(np.int64)
+            out.append(pd.DataFrame({"src": sig[joined], "dst": sig[root[joined]]}))
+        return pd.concat(out) if out else pd.DataFrame({"src": [], "dst": []})
+
+    return run
+
+
+def _probes(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     h = kernel.mix(keys.astype(np.int64).view(U) + U(1))
-    return (h % U(BLOOM_BITS)).astype(np.int64), ((h >> U(32)) % U(BLOOM_BITS)).astype(np.int64)
+    return (h % U(bits)).astype(np.int64), ((h >> U(32)) % U(bits)).astype(np.int64)
 
 
-def _bloom(members: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size (1 MB) over the members' keys; built by eight tasks at most."""
+def _bloom(members: DataFrame, count: int) -> np.ndarray:
+    """A Bloom filter over the members' keys; built by eight tasks at most.
+
+    It has eight bits a member, 32 MB at most: beyond that more rows pass it, which the join drops.
+    """
+    size = 1 << min(BLOOM_MOST, max(BLOOM_LEAST, (8 * count).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BLOOM_BITS, dtype=bool)
+        bits = np.zeros(size, dtype=bool)
         for b in batches:
-            for at in _probes(b.column(0).to_numpy(zero_copy_only=False)):
+            for at in _probes(b.column(0).to_numpy(zero_copy_only=False), size):
                 bits[at] = True
         yield _batch(["blob"], [pa.binary()], [(np.packbits(bits).tobytes(),)])
 
-    bits = np.zeros(BLOOM_BITS // 8, dtype=np.uint8)
+    bits = np.zeros(size // 8, dtype=np.uint8)
     for r in members.select("k").coalesce(8).mapInArrow(run, "blob binary").toLocalIterator():
         bits |= np.frombuffer(r.blob, dtype=np.uint8)
     return bits
@@ -344,11 +508,17 @@ def _member_sets(bloom, words: int):
     names, types = ["k", "sig", "shingles"], [pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(bloom.value).astype(bool)
+        size = len(bloom.value) * 8
+        seen: set[tuple[int, int]] = set()  # rows that repeat an id and a text
         for b in batches:
-            one, two = _probes(b.column(0).to_numpy(zero_copy_only=False))
-            b = b.filter(pa.array(bits[one] & bits[two]))
-            rows = [(k, signature(h), h.tobytes()) for k, h in zip(b.column(0).to_pylist(), sets_of(b.column(1), words), strict=True) if len(h)]
+            one, two = _probes(b.column(0).to_numpy(zero_copy_only=False), size)
+            hit = [bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 for at in (one, two)]
+            b = b.filter(pa.array((hit[0] & hit[1]).astype(bool)))
+            rows = []
+            for k, h in zip(b.column(0).to_pylist(), sets_of(b.column(1), words), strict=True):
+                if len(h) and (key := (k, signature(h))) not in seen:
+                    seen.add(key)
+                    rows.append((*key, h.tobytes()))
             yield _batch(names, types, rows)
 
     return run
@@ -408,6 +578,11 @@ def _verified(num: int, den: int):
     return run
 
 
+def _tasks(spark: SparkSession, rows: int, each: int) -> int:
+    """Partitions of about ``each`` rows, and as many as the session has at least."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
+
+
 def _collect_garbage(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of tables that are written and no longer needed."""
     gc.collect()
@@ -445,13 +620,13 @@ def _linked(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_c
     ``component`` tells components apart also where two of them have the same smallest id.
     """
     spark = docs.sparkSession
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # The region holds somewhat more than the shingles of a prefix, so that few sets run beyond it.
     limit = int(min(0.999, 1 - num / den + MARGIN) * (1 << 64))
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.col(text_col).cast("string").alias("text"))
-    all_rows = written(src.mapInArrow(_slim(words, num, den, limit), "k long, n long, sig long, often binary"), "slim")
+    all_rows = written(src.mapInArrow(_slim(words, num, den, limit), "k long, n long, sig long, map binary, often binary"), "slim")
     slim = all_rows.where("n >= 0").select("k", "n", "sig")
-    classes = written(slim.where("sig is not null").groupBy("sig").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = written(slim.where("sig is not null").groupBy("sig").agg(F.min("k").alias("k"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "classes")
+    buckets = _tasks(spark, int((slim.agg(F.sum("n")).first()[0] or 0) * (limit / (1 << 64))), TASK_ROWS)
 
     often = all_rows.where("n < 0").select("often").mapInArrow(_unpacked, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT_FROM)
     table = often.orderBy(F.desc("c"), "token").limit(FREQUENT).collect()
@@ -459,33 +634,32 @@ def _linked(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_c
     # The shingles are made anew from the texts where they are needed: that costs some CPU, but a
     # table of them would be as large as the input.
     texts, blob = src.select("text"), "bucket int, blob binary"
-    shared = texts.mapInArrow(_route(frequent, words, limit, num, den, buckets), blob).repartition(buckets, "bucket").mapInArrow(_frequencies(buckets), blob)
+    routed = texts.mapInArrow(_route(frequent, words, limit, num, den, buckets), blob).repartitionById(buckets, "bucket").mapInArrow(_frequencies(buckets), blob)
     own = texts.mapInArrow(_own(frequent, words, limit, num, den, buckets), blob)
-    prefix = written(shared.unionAll(own).repartition(buckets, "bucket").mapInArrow(_prefixes(num, den), "token long, sig long, n long, match long"), "prefix")
-    del shared, own, often
+    prefix = written(routed.unionAll(own).repartitionById(buckets, "bucket").mapInArrow(_prefixes(num, den), "sig long, n long, slack long, more long, nodes long, rare binary, common binary"), "prefix")
+    del routed, own, often
     _collect_garbage(spark)
 
-    counts = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("sig").alias("hub")).where("c > 1")
-    rows = written(prefix.join(counts, "token"), "lists")
-    light = rows.where(F.col("c") <= PAIRS_UP_TO).select("token", "sig", "n", "match")
-    other = light.select("token", F.col("sig").alias("sig2"), F.col("n").alias("n2"), F.col("match").alias("match2"))
-    near = (F.col("sig") < F.col("sig2")) & (den * F.least("n", "n2") >= num * F.greatest("n", "n2"))
-    pairs = light.join(other, "token").where(near).groupBy("sig", "sig2").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("match", "match2")).alias("match"))
-    edges = pairs.where("c >= match").select(F.col("sig").alias("src"), F.col("sig2").alias("dst"))
-    edges = edges.union(rows.where(F.col("c") > PAIRS_UP_TO).select(F.col("sig").alias("src"), F.col("hub").alias("dst")).where("src <> dst").distinct())
-    families = written(connected_components(edges).select(F.col("node").alias("sig"), F.col("component").alias("family")), "families")
-
-    sizes = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = written(families.join(sizes, "family").join(classes, "sig"), "members")
-    bloom = spark.sparkContext.broadcast(_bloom(members))
+    entries = int(prefix.agg(F.sum(F.octet_length("rare"))).first()[0] or 0) // 8
+    lists = prefix.select("sig", "n", "slack", "more", "rare").mapInArrow(_entries, "token long, sig long, n long, slack long, more long")
+    pairs = lists.repartition(_tasks(spark, entries, TASK_ROWS), "token").mapInArrow(_proposed(num, den), "src long, dst long, need long")
+    pairs = pairs.groupBy("src", "dst", "need").agg(F.count(F.lit(1)).alias("c")).where("c >= need and src <> dst").select("src", "dst")
+    joined = prefix.where("nodes > 0").select("sig", "nodes", "common").mapInArrow(_joined, "src long, dst long")
+    families = connected_components(pairs.unionAll(joined)).select(F.col("node").alias("sig"), F.col("component").alias("family"))
+    members = written(families.join(prefix.select("sig", "n"), "sig"), "families")
+    members = members.join(members.groupBy("family").agg(F.count(F.lit(1)).alias("of")).where("of > 1").select("family"), "family")
+    maps = all_rows.where("map is not null").select("sig", "map")
+    compared = _grouped(_blocked(members, num, den), entries, TASK_SHINGLES).join(prefix.select("sig", "slack", "rare", "common"), "sig").join(maps, "sig")
+    compared = compared.select("g", "family", "i", "j", "sig", "n", "slack", "rare", "common", "map")
+    near = written(compared.groupBy("g").applyInPandas(_candidates(num, den), "src long, dst long"), "near")
+
+    families = connected_components(near).select(F.col("node").alias("sig"), F.col("component").alias("family"))
+    members = written(families.join(classes, "sig"), "members")
+    count, shingles = members.agg(F.count(F.lit(1)), F.sum("n")).first()
+    bloom = spark.sparkContext.broadcast(_bloom(members, count))
     sets = src.mapInArrow(_member_sets(bloom, words), "k long, sig long, shingles binary")
-    held = members.join(sets, ["k", "sig"])
-    place = F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")
-    held = held.select("family", "sig", "copies", "shingles", "blocks", place.alias("own"))
-    held = held.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    held = held.select("family", "sig", "copies", "shingles", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "blocks")
-    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(buckets * 4))).otherwise(F.xxhash64("family", "i", "j"))
-    checked = held.select(group.alias("g"), "family", "i", "j", "sig", "copies", "shingles", "own").groupBy("g").applyInPandas(_verified(num, den), "sig long, root long, links long")
+    held = _grouped(_blocked(members, num, den), shingles or 0, TASK_SHINGLES).join(sets, ["k", "sig"])
+    checked = held.select("g", "family", "i", "j", "sig", "copies", "shingles", "own").groupBy("g").applyInPandas(_verified(num, den), "sig long, root long, links long")
     checked = written(checked, "checked")
 
     found = connected_components(checked.where("sig <> root").select(F.col("sig").alias("src"), F.col("root").alias("dst")))
@@ -515,18 +689,18 @@ def keep_one(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_co
     those of its columns that can be ordered. Every text without words stays.
     """
     slim, classes = _linked(docs, words, num, den, id_col, text_col)
+    k, sig, row = (names.free(docs, x) for x in ("k", "sig", "row"))
     first = classes.groupBy("component").agg(F.min(F.struct("k", "sig")).alias("first")).select("component", "first")
     held = slim.where("sig is not null").groupBy("k", "sig").agg(F.count(F.lit(1)).alias("rows"))
     first = classes.select("sig", "component").join(first, "component").select("sig", "first")
     stays = F.struct("k", "sig") == F.col("first")
-    marked = held.join(first, "sig").select(F.col("k").alias("__k"), F.col("sig").alias("__sig"), stays.alias("stays"), "rows").where("not stays or rows > 1")
+    marked = held.join(first, "sig").select(F.col("k").alias(k), F.col("sig").alias(sig), stays.alias("stays"), "rows").where("not stays or rows > 1")
     marked = written(marked, "marked")
-    rows = docs.select(*docs.columns, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__k"), _signatures(words)(F.col(text_col).cast("string")).alias("__sig"))
-    key = ["__k", "__sig"]
-    once = rows.join(marked.select(*key), key, "left_anti").select(*docs.columns)
-    again = marked.where("stays").select(*key)
+    rows = docs.select(*names.own(docs), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias(k), _signatures(words)(F.col(text_col).cast("string")).alias(sig))
+    once = rows.join(marked.select(k, sig), [k, sig], "left_anti").select(*names.own(docs))
+    again = marked.where("stays").select(k, sig)
     if again.isEmpty():
         return once
-    ordered = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
-    least = rows.join(again, key, "left_semi").groupBy(*key).agg(F.min_by(F.struct(*docs.columns), F.struct(*ordered)).alias("__row"))
-    return once.unionAll(least.select("__row.*"))
+    ordered = [c for c, f in zip(names.own(docs), docs.schema, strict=True) if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    least = rows.join(again, [k, sig], "left_semi").groupBy(k, sig).agg(F.min_by(F.struct(*names.own(docs)), F.struct(*ordered)).alias(row))
+    return once.unionAll(least.select(f"{row}.*"))

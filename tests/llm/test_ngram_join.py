@@ -87,6 +87,55 @@ def test_edges(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {5, 7, None}
 
 
+def test_common_shingles(spark, monkeypatch):
+    """One passage in a third of the rows, in texts that are little more than it, blocks of a few."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "PAIRS_UP_TO", 3)
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(3000)]
+    passage = rng.choices(vocab, k=40)
+    rows = []
+    for i in range(360):
+        own = rng.choices(vocab, k=rng.choice([1, 2, 3, 6, 30, 60]))
+        rows.append((i, " ".join(passage + own if i % 3 == 0 else own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for n, num, den in ((2, 6, 10),):
+        assert sorted(tuple(r) for r in ngram_join.link(df, n, num, den).collect()) == brute(rows, n, num, den)
+
+
+def test_parity_maps_bound_the_difference():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 62, int(n)).astype(np.uint64)) for n in (1, 2, 60, 64, 65, 130, 500, 1000)]
+    sets += [np.unique(np.concatenate((s[: -max(1, len(s) // 9)], sets[2][:3]))) for s in sets]
+    got = ngram_join.apart([ngram_join.parity(s) for s in sets])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert got[i, j] == got[j, i] <= len(np.setxor1d(a, b)) and (i != j or got[i, j] == 0)
+
+
+def test_least_shared():
+    """No pair of random sets shares fewer prefix shingles than it must."""
+    rng = random.Random(6)
+    for _ in range(3000):
+        num, den = rng.choice([(9, 10), (8, 10), (1, 2)])
+        base = rng.sample(range(400), rng.randint(1, 120))
+        a, b = (sorted(set(rng.sample(base, rng.randint(max(1, int(0.8 * len(base))), len(base))) + rng.sample(range(400), rng.randint(0, 5)))) for _ in "ab")
+        both = len(set(a) & set(b))
+        if den * both < num * (len(a) + len(b) - both):
+            continue
+        slack = [min(0, rng.randint(1, 8) - ngram_join.needed(len(x), num, den)) for x in (a, b)]
+        prefixes = [set(x[: len(x) + s]) for x, s in zip((a, b), slack, strict=True)]
+        least = ngram_join.shared(np.array([len(a)]), np.array(slack[:1]), np.array([len(b)]), np.array(slack[1:]), num, den)[0]
+        assert len(prefixes[0] & prefixes[1]) >= least
+
+
+def test_clashing_names(spark):
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(1, text, 1, 2, 3, "x"), (2, text, 4, 5, 6, "y")], "doc_id long, text string, k int, `a.b` int, SIG int, component string")
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(1, text, 1, 2, 3, "x")]
+
+
 def test_overlaps():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 50, 20).astype(np.uint64)) for _ in range(30)]
