@@ -2,14 +2,17 @@
 
 Method: documents longer than a window are cut into full windows; the rests are packed by
 best-fit decreasing, where a segment tree over the remaining capacities finds the tightest open
-window. Windows that stay too empty are taken apart into power-of-two chunks, which refill
-windows without a gap; what is left over makes sequences whose length is a power of two.
+window. What then stays open is closed: the emptiest windows are taken apart, and their documents
+fill the others, whole where one fits and cut to the free length where none does. So of documents
+that fit no better a window each keeps one whole, and only the rest is cut.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, chunk_crc32 array<long>, bin long"
+_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, bin long"
 _ENCODERS: dict[str, object] = {}
+_SLOW: dict[str, object] = {}
+#: The pattern's look-ahead keeps a place on a stack for each character of a run of white space,
+#: and the stack has a million places. Texts with a run this long go to the vocabulary's own library.
+LONG_RUN = 100_000
+_RUN = re.compile(r"\s{%d}" % LONG_RUN)
 
 #: The split pattern of the byte-level vocabulary (a fixed value of the public tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -49,6 +57,12 @@ def encoder(path: str):
 
 def encode(path: str, text: str) -> np.ndarray:
     """The token ids of one text as uint32."""
+    if len(text) >= LONG_RUN and _RUN.search(text):
+        if path not in _SLOW:
+            from tokenizers import Tokenizer
+
+            _SLOW[path] = Tokenizer.from_file(path)
+        return np.array(_SLOW[path].encode(text, add_special_tokens=False).ids, dtype=np.uint32)
     return encoder(path).encode_to_numpy(text, allowed_special="all")
 
 
@@ -105,8 +119,9 @@ def best_fit_decreasing(lengths: list[int], window: int) -> list[list[int]]:
 def _tokenised(path: str, window: int, bins: int, eos: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "chunk_crc32", "bin"]
-        types = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.int64()]
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "bin"]
+        types = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
+        small = max(encoder(path).n_vocab, eos + 1) <= 1 << 16
         for batch in batches:
             cols: list[list] = [[] for _ in names]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -115,51 +130,82 @@ def _tokenised(path: str, window: int, bins: int, eos: int):
                 spread = zlib.crc32(f"{doc} {row}".encode())
                 for k, at in enumerate(range(0, len(ids), window)):
                     part = ids[at : at + window]
-                    chunks, a = [], 0
-                    if len(part) < window:
-                        for bit in range(window.bit_length() - 1, -1, -1):
-                            if len(part) >> bit & 1:
-                                chunks.append(zlib.crc32(part[a : a + (1 << bit)].tobytes()))
-                                a += 1 << bit
-                    for c, v in zip(cols, (doc, at, len(part), zlib.crc32(part.tobytes()), len(ids), chunks, (spread + k) % bins), strict=True):
+                    held = None if len(part) == window else part.astype("<u2" if small else "<u4").tobytes()
+                    for c, v in zip(cols, (doc, at, len(part), zlib.crc32(part.tobytes()), len(ids), held, (spread + k) % bins), strict=True):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
     return pieces
 
 
+class Pool:
+    """Pieces of windows that were taken apart: (row, first id, ids), given out whole or cut."""
+
+    def __init__(self) -> None:
+        self.pieces: list[tuple[int, int, int]] = []  # (ids, row, first id), short ones first
+        self.total = 0
+
+    def add(self, row: int, start: int, n: int) -> None:
+        insort(self.pieces, (n, row, start))
+        self.total += n
+
+    def fill(self, room: int) -> Iterator[tuple[int, int, int]]:
+        """Pieces of ``room`` ids in all, or what there is: the longest that fits, else a cut one."""
+        while room and self.pieces:
+            at = bisect_left(self.pieces, (room + 1,)) - 1
+            n, row, start = self.pieces.pop(max(at, 0))
+            take = min(n, room)
+            self.total -= n
+            if take < n:
+                self.add(row, start + take, n - take)
+            room -= take
+            yield row, start, take
+
+
+def closed(windows: list[list[int]], lengths: list[int], window: int, spare: int) -> list[list[tuple[int, int, int]]]:
+    """Sequences of (item, first id, ids): ``windows`` with their free places filled.
+
+    Windows with at most ``spare`` free places stay as they are. Of the others the emptiest are
+    taken apart until the rest is full. What is left at last makes sequences of powers of two.
+    """
+    used = [sum(lengths[i] for i in w) for w in windows]
+    out = [[(i, 0, lengths[i]) for i in w] for w in windows]
+    open_ = sorted((w for w in range(len(windows)) if window - used[w] > spare and used[w] & (used[w] - 1)), key=lambda w: (-used[w], w))
+    pool, first, last = Pool(), 0, len(open_) - 1
+    while first <= last:
+        w = open_[first]
+        while pool.total < window - used[w] and last > first:
+            for i in windows[open_[last]]:
+                pool.add(i, 0, lengths[i])
+            out[open_[last]] = []
+            last -= 1
+        if pool.total < window - used[w]:  # the last one: what is left makes up its own sequences
+            for i in windows[w]:
+                pool.add(i, 0, lengths[i])
+            out[w] = []
+            break
+        out[w] += pool.fill(window - used[w])
+        first += 1
+    while pool.total:
+        out.append(list(pool.fill(min(window, 1 << (pool.total.bit_length() - 1)))))
+    return [s for s in out if s]
+
+
 def _packer(window: int, spare: int):
     def one_bin(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
-        base, seq = int(pdf["bin"].iloc[0]) << 36, 0
-        rows = list(zip(pdf["doc_id"], pdf["start"], pdf["length"], pdf["ids_crc32"], pdf["doc_tokens"], pdf["chunk_crc32"], strict=True))
-        out, loose = [], []
-        for items in best_fit_decreasing([r[2] for r in rows], window):
-            used = sum(rows[i][2] for i in items)
-            if window - used > spare and used & (used - 1):
-                loose += items
-                continue
-            at = 0
-            for i in items:
-                out.append((*rows[i][:5], base + seq, at, used))
-                at += rows[i][2]
-            seq += 1
-        chunks = []
-        for i in loose:
-            doc, start, length, _, total, crcs, at = *rows[i], 0
-            for crc, bit in zip(crcs, (b for b in range(window.bit_length() - 1, -1, -1) if length >> b & 1), strict=True):
-                chunks.append((1 << bit, doc, start + at, int(crc), total))
-                at += 1 << bit
-        chunks.sort(key=lambda c: (-c[0], c[1] if c[1] == c[1] and c[1] is not None else -1, c[2], c[3]))
-        left = sum(c[0] for c in chunks)
-        fill = room = 0
-        for size, doc, start, crc, total in chunks:  # falling powers of two meet every boundary exactly
-            if fill == room:
-                room, fill = min(window, 1 << (left.bit_length() - 1)), 0
-                left -= room
-                seq += 1
-            out.append((doc, start, size, crc, total, base + seq, fill, room))
-            fill += size
+        base = int(pdf["bin"].iloc[0]) << 36
+        rows = list(zip(pdf["doc_id"], pdf["start"], pdf["length"], pdf["ids_crc32"], pdf["doc_tokens"], pdf["ids"], strict=True))
+        lengths, out = [r[2] for r in rows], []
+        for seq, parts in enumerate(closed(best_fit_decreasing(lengths, window), lengths, window, spare)):
+            at, total = 0, sum(n for *_, n in parts)
+            for i, first, n in parts:
+                doc, start, length, crc, tokens, ids = rows[i]
+                if n < length:
+                    part = np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * length else "<u4")[first : first + n]
+                    crc = zlib.crc32(part.astype("<u4").tobytes())
+                out.append((doc, start + first, n, crc, tokens, base + seq, at, total))
+                at += n
         return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens"])
 
     return one_bin
@@ -174,7 +220,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, eos: int = 0,
     place in their task, so many rows with one id (or null ids, kept as null) spread too; each
     bin is packed by itself, in a total order, so that a recomputed task gives the same rows.
     ``window`` is a power of two. An empty table gives no rows; other columns are not read.
-    Only lengths and checksums are shuffled, never ids or texts.
+    Ids are shuffled only of rests shorter than a window, two bytes each for a small vocabulary.
+    ``spare``: a window with that few free places is padded rather than filled with a cut document.
+    Texts of any length and with runs of any kind pass. Bins pack apart, so each may leave one set
+    of short sequences, of powers of two.
     """
     if window & (window - 1):
         raise ValueError("window must be a power of two")

@@ -47,6 +47,31 @@ def test_equal_ids():
         assert packing.encode(PATH, text or "").tolist() + [0] == ids
 
 
+def test_runs_of_any_length():
+    for text in ("a" + " " * 1_200_000 + "b", "\n" * 700_000 + " x", " \t" * 400_000, "a" * 300_000, "7" * 300_000, "!" * 300_000, "ab " * 200_000):
+        assert np.array_equal(packing.encode(PATH, text), np.array(want([text])[0][:-1]))
+    assert len(packing.encode(PATH, " " * 5_000_000)) > 0
+
+
+def test_long_space_is_packed(spark):
+    rows = [(1, " " * 1_000_000), (2, "x"), (3, "\n" * 600_000 + "end")]
+    verify(packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect(), rows)
+
+
+def test_documents_stay_whole():
+    """Of equal documents that leave a gap, each window keeps its own whole; gaps are closed."""
+    for size, per_window in ((600, 1), (450, 2)):
+        lengths = [size] * 500
+        got = packing.closed(packing.best_fit_decreasing(lengths, 1024), lengths, 1024, 16)
+        whole = sum(n == size for s in got for _, _, n in s)
+        full = sum(sum(n for *_, n in s) == 1024 for s in got)
+        assert full == 500 * size // 1024 and whole >= per_window * full and whole > 250
+        covered = sorted((i, a, a + n) for s in got for i, a, n in s)
+        for i in range(500):
+            spans = [(a, b) for k, a, b in covered if k == i]
+            assert spans[0][0] == 0 and spans[-1][1] == size and all(x[1] == y[0] for x, y in zip(spans, spans[1:], strict=False))
+
+
 def test_pack_whole(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(10_000 + i, t) for i, t in enumerate(ODD)]
