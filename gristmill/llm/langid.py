@@ -117,14 +117,26 @@ class Model:
         return total
 
 
+def constant(scores: np.ndarray, penalty: float) -> int | None:
+    """The language of the best path if some test shows that it never switches, else None.
+
+    A stretch of words outside of the best overall language gains at most the sum of each word's
+    best other score. Inside the text it costs two switches, at an end of it one, and if it is all
+    of the text at least one, since a single other language gains nothing.
+    """
+    best = int(scores.sum(axis=0, dtype=np.float64).argmax())
+    if scores.shape[1] == 1:
+        return best
+    other = np.delete(scores, best, axis=1).max(axis=1)
+    sums = np.concatenate(([0.0], np.cumsum(other - scores[:, best], dtype=np.float64)))
+    inside = (sums - np.minimum.accumulate(sums)).max()
+    return best if inside <= 2 * penalty and sums.max() <= penalty and sums[-1] - sums.min() <= penalty else None
+
+
 def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     """The best path through ``scores`` [words, languages] when each switch costs ``penalty``."""
     n, width = scores.shape
-    best = int(scores.sum(axis=0, dtype=np.float64).argmax())
-    gain = np.cumsum(scores - scores[:, [best]], axis=0, dtype=np.float64)
-    low = np.minimum(np.minimum.accumulate(gain, axis=0), 0)
-    low = np.vstack((np.zeros((1, width)), low[:-1]))
-    if (gain - low).max() <= penalty:  # no run elsewhere repays a switch: the path is constant
+    if (best := constant(scores, penalty)) is not None:
         return np.full(n, best)
     back = np.empty((n, width), dtype=np.int32)
     value = scores[0].astype(np.float64)
@@ -169,7 +181,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key:
     by a hash of ``key`` (default: the text), so that the choice does not depend on the partitions.
 
     Rows with a null language or text teach nothing. Without any row the model knows no language
-    and prediction answers ``und``.
+    and prediction answers ``und``. A language uses the scripts of at least a hundredth of its
+    letters; words of other scripts say nothing for it.
     """
     key = F.col(text_col) if key is None else key
     src = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
@@ -213,25 +226,25 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key:
     return Model(langs, table, scripts, max(range(len(langs)), key=lambda i: (counts[langs[i]], langs[i])))
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", spans: bool = False) -> DataFrame:
-    """``docs`` with a struct column ``language``: ``lang, score, spans``.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", spans: bool = False, out: str = "language") -> DataFrame:
+    """``docs`` with a struct column ``out``: ``lang, score, spans``.
 
     ``lang`` is a learned language, or ``und`` (score 0) for a null text, a text without a letter,
     or an empty model; ``score`` is the share of the letters in that language's runs; ``spans``
     (only on request, else empty) are byte ranges of the UTF-8 text. Whole texts, row by row; no
-    shuffle; other columns pass, a column ``language`` is replaced.
+    shuffle; other columns pass, a column named ``out`` is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bins x languages: fixed by the model's shape
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())])))])
 
     @F.arrow_udf("struct<lang string, score double, spans array<struct<start long, stop long, lang string>>>")
     def run(texts: pa.Array) -> pa.Array:
-        m, out = shared.value, []
+        m, got = shared.value, []
         for lo, hi, data, offsets in kernel.blocks(texts):
             if not m.langs:
-                out += [{"lang": "und", "score": 0.0, "spans": []}] * (hi - lo)
+                got += [{"lang": "und", "score": 0.0, "spans": []}] * (hi - lo)
                 continue
-            out += [{"lang": x, "score": s, "spans": [{"start": a, "stop": b, "lang": k} for a, b, k in found]} for x, s, found in label(m, data, offsets, spans)]
-        return pa.array(out, kind)
+            got += [{"lang": x, "score": s, "spans": [{"start": a, "stop": b, "lang": k} for a, b, k in found]} for x, s, found in label(m, data, offsets, spans)]
+        return pa.array(got, kind)
 
-    return docs.withColumn("language", run(F.col(text_col).cast("string")))
+    return docs.withColumn(out, run(F.col(text_col).cast("string")))
