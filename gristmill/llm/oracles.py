@@ -19,7 +19,7 @@ _RATIOS = {
     "ellipsis_line_ratio": "coalesce(n_ellipses / nullif(n_lines, 0), 0)",
     "alpha_word_ratio": "coalesce(n_alpha_words / nullif(n_words, 0), 0)",
     "upper_ratio": "coalesce(n_upper / nullif(n_letters, 0), 0)",
-    "stop_word_ratio": "CASE WHEN n_words >= 100 THEN n_stop_words / least(n_words, 100) ELSE 1 END",
+    "stop_word_ratio": "coalesce(n_stop_words / nullif(n_words, 0), 0)",
 }
 
 
@@ -35,7 +35,7 @@ m AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(x, '{_GAP}', '', '
   len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(l) AS n_lines,
   length(regexp_replace(x, '\P{{L}}+', '', 'g')) AS n_letters, length(regexp_replace(x, '\P{{Lu}}+', '', 'g')) AS n_upper, length(regexp_replace(x, '[^!]+', '', 'g')) AS n_exclaims,
   len(list_filter(l, lambda s: regexp_matches(s, '^\s*[-*•]'))) AS n_bullets, len(list_filter(l, lambda s: regexp_matches(s, '(…|\.\.\.)\s*$'))) AS n_ellipses,
-  len(list_intersect(list_distinct(list_transform(w, lambda s: lower(s))), [{stop}])) AS n_stop_words,
+  len(list_filter(w, lambda s: lower(s) IN ({stop}))) AS n_stop_words,
   len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutters, len(list_filter(w, lambda s: regexp_matches(s, '\p{{L}}'))) AS n_alpha_words
   FROM w LEFT JOIN r USING (k)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)

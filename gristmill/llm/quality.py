@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import names
+
 GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -74,7 +76,6 @@ def repeated_words(words: Column, window: int) -> Column:
 
 def measures(text: Column, words: Column, lines: Column, window: int, stop: list[str]) -> dict[str, Column]:
     """Raw counts by name. ``lines``: the \\n-split lines that hold a word."""
-    stop_array = F.array(*[F.lit(w) for w in stop])
     return {
         "n_words": F.size(words).cast("long"),
         "word_chars": _size(GAP, text).cast("long"),
@@ -87,7 +88,7 @@ def measures(text: Column, words: Column, lines: Column, window: int, stop: list
         "n_exclaims": _size("[^!]+", text).cast("long"),
         "n_bullets": F.size(F.filter(lines, lambda x: x.rlike(r"^\s*[-*•]"))).cast("long"),
         "n_ellipses": F.size(F.filter(lines, lambda x: x.rlike(r"(…|\.\.\.)\s*$"))).cast("long"),
-        "n_stop_words": F.size(F.array_intersect(F.array_distinct(F.transform(words, lambda w: F.lower(w))), stop_array)).cast("long"),
+        "n_stop_words": F.size(F.filter(words, lambda w: F.lower(w).isin(stop))).cast("long"),
         "n_stutters": F.size(F.filter(words, lambda w, i: F.coalesce(F.get(words, i - 1) == w, F.lit(False)))).cast("long"),
         "n_alpha_words": F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))).cast("long"),
     }
@@ -108,38 +109,36 @@ def ratios(counts: str) -> dict[str, Column]:
         "ellipsis_line_ratio": _ratio(c("n_ellipses"), c("n_lines")),
         "alpha_word_ratio": _ratio(c("n_alpha_words"), c("n_words")),
         "upper_ratio": _ratio(c("n_upper"), c("n_letters")),
-        "stop_word_ratio": F.when(c("n_words") >= 100, _ratio(c("n_stop_words") * F.lit(1.0), F.least(c("n_words"), F.lit(100)))).otherwise(F.lit(1.0)),
+        "stop_word_ratio": _ratio(c("n_stop_words"), c("n_words")),
     }
 
 
-def score(docs: DataFrame, rules: tuple = RULES, window: int = 8, text_col: str = "text", stop_words: dict[str, list[str]] = STOP_WORDS) -> DataFrame:
-    """``docs`` with a struct column ``quality_rules``: the counts, ``failed`` (names of the rules
-    that reject, in table order), ``base_failed`` and ``kept``.
+def score(docs: DataFrame, rules: tuple = RULES, window: int = 8, text_col: str = "text", stop_words: dict[str, list[str]] = STOP_WORDS, out: str = "quality_rules") -> DataFrame:
+    """``docs`` with a struct column ``out``: the counts, ``failed`` (names of the rules that
+    reject, in table order), ``base_failed`` and ``kept``.
 
     Rows are kept as they are, repeated ones too; a null text has no words and fails
-    ``few_words``; clashing columns of ``docs`` other than ``quality_rules`` are untouched. Every
-    measure covers the whole text. No shuffle, no Python.
+    ``few_words``; a column named ``out`` is replaced, all others are untouched whatever their
+    names. Every measure covers the whole text. No shuffle, no Python.
     """
     stop = sorted({w for v in stop_words.values() for w in v})
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns], text.alias("__t"))
-    base = base.select("*", F.filter(F.split("__t", GAP), lambda w: w != "").alias("__w"), F.filter(F.split("__t", "\n"), lambda x: x.rlike(WORD)).alias("__l"))
-    counts = F.struct(*[m.alias(k) for k, m in measures(F.col("__t"), F.col("__w"), F.col("__l"), window, stop).items()])
+    t, w, lines, m = (names.free(docs, x) for x in ("t", "w", "l", "m"))
+    base = docs.select(*names.own(docs), text.alias(t))
+    base = base.select("*", F.filter(F.split(t, GAP), lambda x: x != "").alias(w), F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD)).alias(lines))
+    counts = F.struct(*[c.alias(k) for k, c in measures(F.col(t), F.col(w), F.col(lines), window, stop).items()])
     # Generated, not projected: the optimizer would copy the counts into every rule that names them.
-    return judge(base.select(*[F.col(f"`{c}`") for c in docs.columns if c != "quality_rules"], F.explode(F.array(counts)).alias("__m")), rules)
+    counted = base.select(*names.own(docs, out), F.explode(F.array(counts)).alias(m))
+    return counted.select(*names.own(counted, m), judged(m, counted.schema[m].dataType.fieldNames(), rules).alias(out))
 
 
-def judge(counted: DataFrame, rules: tuple) -> DataFrame:
-    names = [f.name for f in counted.schema["__m"].dataType.fields]
-    known = ratios("__m")
-    hits = []
+def judged(counts: str, fields: list[str], rules: tuple) -> Column:
+    """The struct of counts, failed rules and verdicts from a struct column of counts."""
+    known, hits = ratios(counts), []
     for name, measure, op, limit in rules:
-        m = known[measure]
-        hits.append((name, m < limit if op == "<" else m > limit))
+        hits.append((name, known[measure] < limit if op == "<" else known[measure] > limit))
     failed = F.filter(F.array(*[F.when(h, F.lit(n)) for n, h in hits]), lambda x: x.isNotNull())
-    w, r = F.col("__m.n_words"), F.col("__m.n_repeat_words")
-    base = (w < 20) | (100 * r > 30 * w)
+    n, r = F.col(f"{counts}.n_words"), F.col(f"{counts}.n_repeat_words")
+    base = (n < 20) | (100 * r > 30 * n)
     kept = ~reduce(lambda a, b: a | b, [h for _, h in hits], base)
-    out = F.struct(*[F.col(f"__m.{n}").alias(n) for n in names], failed.alias("failed"), base.alias("base_failed"), kept.alias("kept"))
-    return counted.select(*[F.col(f"`{c}`") for c in counted.columns if c != "__m"], out.alias("quality_rules"))
-
+    return F.struct(*[F.col(f"{counts}.{f}").alias(f) for f in fields], failed.alias("failed"), base.alias("base_failed"), kept.alias("kept"))

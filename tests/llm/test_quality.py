@@ -34,6 +34,21 @@ def test_counts(spark, sf):
         assert q.kept == (not q.failed) and not (q.base_failed and q.kept)
 
 
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "the text of it " * 8, 1, 2, 3, 4, 5)], "doc_id long, text string, __t int, W int, `a.b` int, m int, quality_rules int")
+    (r,) = quality.score(df, out="q").collect()
+    assert tuple(r)[:7] == tuple(df.first()) and r.q.n_words == 32
+    assert quality.score(df).columns == ["doc_id", "text", "__t", "W", "a.b", "m", "quality_rules"]
+
+
+@pytest.mark.parametrize("n", [30, 99, 100, 400])
+def test_stop_words_count_at_any_length(spark, n):
+    bare = [f"zq{i}v" for i in range(n)]
+    rows = [(1, " ".join(bare)), (2, " ".join([*bare[: n - n // 20], *["the"] * (n // 20)]))]
+    got = {r.doc_id: r.quality_rules for r in quality.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "stop_words" in got[1].failed and "stop_words" not in got[2].failed and got[2].n_stop_words == n // 20
+
+
 def test_plan_is_one_projection(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = quality.score(df)._jdf.queryExecution().executedPlan().toString()
