@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import langid, ngram_join, packing, quality
+from gristmill.llm import langid, names, ngram_join, packing, quality
 from gristmill.session import written
 from gristmill.tables import load
 
@@ -21,14 +21,16 @@ MAIN_LANGUAGE = 0.5
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects; a null text has no words and goes."""
-    return quality.score(docs).where("quality_rules.kept").select(*docs.columns)
+    q = names.free(docs, "quality")
+    return quality.score(docs, out=q).where(f"{q}.kept").select(*names.own(docs))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a main language, learned from the stated languages of these documents."""
     model = langid.train(docs, key=F.col("doc_id"))
-    found = langid.predict(docs, model)
-    return found.where((F.col("language.lang") != "und") & (F.col("language.score") >= MAIN_LANGUAGE)).select(*docs.columns)
+    spoken = names.free(docs, "spoken")
+    found = langid.predict(docs, model, out=spoken)
+    return found.where((F.col(f"{spoken}.lang") != "und") & (F.col(f"{spoken}.score") >= MAIN_LANGUAGE)).select(*names.own(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
