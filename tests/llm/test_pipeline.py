@@ -29,3 +29,17 @@ def test_odd_rows_pass(spark):
         docs = stage(spark, docs, "")
         assert stage(spark, docs.limit(0), "").count() == 0
     assert {r.doc_id for r in docs.collect()} == {1}
+
+
+def test_extra_columns_come_through(spark):
+    """Columns of the user's with names that stages could want stay as they are."""
+    text = " ".join(f"word{i} the of and" for i in range(30))
+    extra = ["__t", "__w", "__m", "t", "a.b", "language", "quality_rules", "quality", "spoken", "drop", "k", "sig", "row", "__k"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra)
+    row = (1, text, "en", "s", 1, *extra)
+    docs = spark.createDataFrame([row, (2, *row[1:])], schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns[5:] == extra
+    assert [tuple(r) for r in docs.collect()] == [row]
+    assert {r.doc_id for r in corpus_pipeline.packed(spark, docs, "").collect()} == {1}
