@@ -41,64 +41,128 @@ def test_templates(spark):
     rules = [("block", "a.com/ads/"), ("allow", "a.com/user/"), ("allow", "c.com/")]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = url_filter.filter_urls(df, rules).collect()
-    assert {r.template for r in got if "user" in r.path} == {"a.com/user/*/posts/<n>"}
+    assert {r.template for r in got if "user" in r.path} == {"a.com/user/*/posts/*"}
     assert {r.verdict for r in got if r.host == "b.com"} == {"block"} and {r.verdict for r in got if r.host == "c.com"} == {"allow"}
     assert {r.rule for r in got if r.host == "b.com"} == {None}
 
 
-def brute(rows, depth=4, max_kinds=12, min_share=0.02, alpha=4.0, z=1.96):
-    """(page_id, verdict, template) by plain dictionaries, one url at a time."""
-    shape = lambda s: re.sub(r"[0-9]+", "<n>", re.sub(r"(?=[0-9a-fA-F-]*[0-9])[0-9a-fA-F-]{16,}", "<h>", s))
-    end, deep = "\x00", "**"
-    items = []
+def test_rare_templates_do_not_keep_branches_apart(spark):
+    """/en/ and /it/ spread alike but for one odd url; /shop/ is built otherwise."""
+    urls = [f"http://h.net/{k}/{kind}/{i}" for k, n in (("en", 60), ("it", 40)) for kind in ("news", "blog") for i in range(n)]
+    urls += ["http://h.net/it/odd/thing", *[f"http://h.net/shop/{c}/item/{i}" for c in "abcd" for i in range(25)]]
+    got = url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), [("block", "h.net/en/"), ("allow", "h.net/shop/a/")]).collect()
+    assert {r.merged for r in got if r.path.startswith("/it/news")} == {"h.net/en/news/*"} == {r.merged for r in got if r.path.startswith("/en/blog")}
+    assert {r.verdict for r in got if r.path.startswith("/it/news")} == {"block"}
+    assert all(r.merged.startswith("h.net/shop/") and r.verdict == "allow" for r in got if "/shop/" in r.path)
+
+
+def brute(rows, max_kinds=12, min_share=0.02, min_rows=3, alpha=4.0, z=1.96, effect=0.1, overlap=0.5):
+    """(page_id, verdict, template, merged, purity) by plain dictionaries."""
+    items, paths = [], Counter()
     for i, u in rows:
         host, path = parse(u)
-        parts = [shape(s) for s in re.sub("^/", "", path).split("/")] if path else []
-        seg = [parts[k] if k < len(parts) else end for k in range(depth)]
-        seg[-1] = deep if len(parts) > depth else seg[-1]
-        items.append([i, host, seg, rule(host, path)[1]])
-    for k in range(depth):
-        kids = defaultdict(Counter)
-        for _, host, seg, _ in items:
-            kids[host, *seg[:k]][seg[k]] += 1
-        for it in items:
-            c = kids[it[1], *it[2][:k]]
-            it.append("*" if len(c) > max_kinds and c[it[2][k]] < min_share * sum(c.values()) and it[2][k] not in (end, deep) else it[2][k])
-        for it in items:
-            it[2] = [*it[2][:k], it.pop(), *it[2][k + 1 :]]
-    lab, blk, same, branch, looks = Counter(), Counter(), Counter(), Counter(), defaultdict(set)
-    for _, host, seg, v in items:
-        looks[host, seg[0]].add("/".join(seg[1:]))
-        for key, table in (((host, *seg), None), (tuple(seg), same), ((host, seg[0]), branch)):
-            for name, hit in (("lab", v is not None), ("blk", v == "block")):
-                (table if table is not None else (lab if name == "lab" else blk))[(key, name) if table is not None else key] += hit
-    look = {b: tuple(sorted(s)) for b, s in looks.items()}
-    group = Counter()
-    for (b, name), n in branch.items():
-        group[b[0], look[b], name] += n
-    p = lambda b, n, prior: (b + alpha * prior) / (n + alpha)
-    world = p(sum(blk.values()), sum(lab.values()), 0.5)
+        paths[host, path] += 1
+        items.append((i, host, path, rule(host, path)[1]))
+    split = lambda p: tuple(re.sub("^/", "", p).split("/")) if p else ()
+    template = {}
+
+    def descend(host, members, g, k):
+        """members: paths that share the labels g of their first k segments."""
+        if len(members) == 1:
+            template[host, members[0]] = g + split(members[0])[k:]
+            return
+        kids = defaultdict(list)
+        for p in members:
+            kids[split(p)[k] if len(split(p)) > k else None].append(p)
+        count = {s: sum(paths[host, p] for p in ps) for s, ps in kids.items()}
+        below = defaultdict(list)
+        for s, ps in kids.items():
+            if s is None:
+                template.update({(host, p): g for p in ps})
+            else:
+                rare = count[s] < min_share * sum(count.values()) or count[s] < min_rows
+                below["*" if len(kids) > max_kinds and rare else s] += ps
+        for s, ps in below.items():
+            descend(host, ps, (*g, s), k + 1)
+
+    by_host = defaultdict(list)
+    for host, p in sorted(paths):
+        by_host[host].append(p)
+    for host, ps in by_host.items():
+        descend(host, ps, (), 0)
+    n = Counter()
+    for key, c in paths.items():
+        n[key[0], template[key]] += c
+    m = {leaf: leaf[1] for leaf in n}
+
+    def alike(x, y):
+        tx, ty = sum(x.values()), sum(y.values())
+        same = x.keys() & y.keys()
+        if round(sum(min(x[s] / tx, y[s] / ty) for s in same), 6) < overlap:
+            return False
+        chi = sum((math.sqrt(ty / tx) * x[s] - math.sqrt(tx / ty) * y[s]) ** 2 / (x[s] + y[s]) for s in x.keys() | y.keys())
+        df = len(x.keys() | y.keys()) - 1
+        limit = df * (1 - 2 / (9 * df) + z * math.sqrt(2 / (9 * df))) ** 3 if df else 0
+        return round(chi, 6) <= limit or round(chi, 6) <= effect**2 * (tx + ty)
+
+    for k in range(max(map(len, m.values())) - 1, -1, -1):
+        spread = defaultdict(lambda: defaultdict(Counter))
+        for leaf, labels in m.items():
+            if len(labels) > k:
+                spread[leaf[0], labels[:k]][labels[k]][labels[k + 1 :]] += n[leaf]
+        into = {}
+        for node, branches in spread.items():
+            size = lambda b: (sum(branches[b].values()), b)  # noqa: B023, E731
+            larger = {b: [o for o in branches if size(o) > size(b) and alike(branches[o], branches[b])] for b in branches}
+            for b in branches:
+                leaders = [o for o in larger[b] if not larger[o]]
+                if leaders:
+                    into[node, b] = max(leaders, key=size)
+        for leaf, labels in m.items():
+            if len(labels) > k:
+                m[leaf] = (*labels[:k], into.get(((leaf[0], labels[:k]), labels[k]), labels[k]), *labels[k + 1 :])
+    count = Counter()
+    for _, host, path, v in items:
+        leaf = host, template[host, path]
+        for key in (("own", *leaf), ("group", host, m[leaf]), ("branch", host, m[leaf][:1]), ("same", leaf[1]), ("all",)):
+            count[key, "lab"] += v is not None
+            count[key, "blk"] += v == "block"
+    p = lambda key, prior: (count[key, "blk"] + alpha * prior) / (count[key, "lab"] + alpha)
     out = []
-    for i, host, seg, v in items:
-        b = (host, seg[0])
-        lb, bb, lg, bg = branch[b, "lab"], branch[b, "blk"], group[host, look[b], "lab"], group[host, look[b], "blk"]
-        if lb and abs(bb / lb - bg / lg) > z * math.sqrt(bg / lg * (1 - bg / lg) * (1 / lb + 1 / lg)):
-            lg, bg = lb, bb
-        key = (host, *seg)
-        purity = p(blk[key], lab[key], p(bg, lg, p(same[tuple(seg), "blk"], same[tuple(seg), "lab"], world)))
-        out.append((i, v or ("block" if purity >= 0.5 else "allow"), host + "".join("/" + s for s in seg if s != end), round(purity, 9)))
+    for i, host, path, v in items:
+        g = template[host, path]
+        own, group = ("own", host, g), ("group", host, m[host, g])
+        lo, bo, lg, bg = count[own, "lab"], count[own, "blk"], count[group, "lab"], count[group, "blk"]
+        if lo and abs(bo / lo - bg / lg) > z * math.sqrt(bg / lg * (1 - bg / lg) * (1 / lo + 1 / lg)):
+            group = own
+        purity = p(own, p(group, p(("branch", host, m[host, g][:1]), p(("same", g), p(("all",), 0.5)))))
+        show = lambda t: "/".join((host, *t))  # noqa: B023, E731
+        out.append((i, v or ("block" if purity >= 0.5 else "allow"), show(g), show(m[host, g]), round(purity, 9)))
     return sorted(out)
 
 
+def result(rows):
+    return sorted((r.page_id, r.verdict, r.template, r.merged, round(r.purity, 9)) for r in rows)
+
+
 def test_query_whole(spark, sf):
     rows = [(r.page_id, r.url) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
-    got = queries.op2_url_filter(spark, sf).collect()
-    assert sorted((r.page_id, r.verdict, r.template, round(r.purity, 9)) for r in got) == brute(rows)
+    assert result(queries.op2_url_filter(spark, sf).collect()) == brute(rows)
 
 
 def test_against_brute_force(spark):
     urls = [f"http://a.com/u{chr(97 + i % 26)}{chr(97 + i // 26)}z/p/{i}/x/y" for i in range(120)] + [f"http://a.com/ads/{i}" for i in range(9)] + [f"http://b.com/{s}/en/{i}" for s in ("ads", "q", "r") for i in range(7)]
     urls += ODD + [f"http://example.com/{s}/0123456789abcdef0{i}" for s in ("en", "fr", "dead-beef") for i in range(5)] * 2
+    urls += [f"http://d.com/{a}/{b}/{c}/{i}" for a in ("x", "y", "z") for b in ("k", "l") for c, n in (("m", 9), ("n", 3 if a == "z" else 8)) for i in range(n)]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    got = url_filter.filter_urls(df, RULES).collect()
-    assert sorted((r.page_id, r.verdict, r.template, round(r.purity, 9)) for r in got) == brute(list(enumerate(urls)))
+    assert result(url_filter.filter_urls(df, RULES).collect()) == brute(list(enumerate(urls)))
+
+
+def test_deep_paths(spark):
+    """Nine segments that differ at the sixth only: the labelled ones decide their own branch alone."""
+    urls = [f"http://d.org/a/b/c/d/e/{s}/g/h/{i}" for s in ("good", "bad", "new") for i in range(30)] + ["http://d.org/" + "/".join("q" * 40)]
+    rules = [("block", "d.org/a/b/c/d/e/bad/"), ("allow", "d.org/a/b/c/d/e/good/")]
+    df = spark.createDataFrame([*enumerate(urls), (900, "http://e.org/a/b/c/d/e/bad/g/h/1")], "page_id long, url string")
+    got = url_filter.filter_urls(df, rules).collect()
+    assert {r.template for r in got if "/bad/" in r.path and r.host == "d.org"} == {"d.org/a/b/c/d/e/bad/g/h/*"}
+    assert all(r.verdict == ("block" if "/bad/" in r.path else "allow") for r in got if r.rule) and sum(r.rule is not None for r in got) == 60
