@@ -114,7 +114,6 @@ def fingerprints(docs: DataFrame, text_col: str = "text", size: int = SIZE) -> D
     return docs.withColumn("lz_fingerprint", made(F.col(text_col).cast("string")))
 
 
-
 def edited(text: str, following: str) -> tuple[int, str]:
     """(bytes kept, replacement): the last third of ``text`` gives way to as many leading code
     points of ``following``, or all of it if it is shorter."""
@@ -161,37 +160,64 @@ def _pairs(size: int):
     return run
 
 
-def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
+def _ranges(cuts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Upper bounds (a, h) of the ranges from sorted cuts of ``a``, made from quantiles.
+
+    A value that several quantiles meet holds that many ranges' rows, which are cut by their hash.
+    """
+    bounds = []
+    for a in sorted(set(cuts)):
+        many = cuts.count(a)
+        bounds += [(a, -(1 << 63) + (j << 64) // many) for j in range(1, many)] + [(a, (1 << 63) - 1)]
+    pairs = np.array(bounds, dtype=np.int64).reshape(-1, 2)
+    return pairs[:, 0].copy(), pairs[:, 1].copy()
+
+
+def _range_of(a: np.ndarray, h: np.ndarray, bounds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many bounds lie before (a, h)."""
+    lo, hi = np.searchsorted(bounds[0], a, "left"), np.searchsorted(bounds[0], a, "right")
+    out = lo.copy()
+    for at in np.unique(lo[hi - lo > 1]).tolist():
+        here = (lo == at) & (hi - lo > 1)
+        out[here] += np.searchsorted(bounds[1][at : int(hi[here][0])], h[here], "left")
+    return out.astype(np.int32)
+
+
+def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, range_bytes: int = 64 << 20) -> DataFrame:
     """Fingerprint every text and its edited text, in falling order of id.
 
     A row's next is the one with the next smaller id, the last one's next is the first; rows with
-    one id follow each other in order of text, null ids come last, null texts are empty; a table
-    of one row is its own next. Returns ``doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next``. The order is made by ranges of ids: each range
-    is sorted in one task, and only its first row is copied, to the range before it. Ranges
-    come from quantiles over all ids, so their number grows with the partitions, not with rows.
+    one id follow each other by a hash of the text, null ids come last, null texts are empty; a
+    table of one row is its own next. Returns ``doc_id, n_chars, edited_sha256, fingerprint,
+    edited_fingerprint, near_edited, near_next``. The order is made by ranges of about
+    ``range_bytes`` of text: each is sorted in one task, and only its first row is copied, to the
+    range before it. Ranges are cut at quantiles of all ids; an id with more rows than a range is
+    cut by the hash too, so only rows that repeat an id and its text must meet.
     """
     spark = docs.sparkSession
-    low = -(1 << 63)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(low))
-    src = docs.select(key.alias("k"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = sorted(set(src.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)], 10_000).alias("q")).first().q or []))
-    bounds = np.array(cuts, dtype=np.int64)
+    text = F.col(text_col).cast("string")
+    # Complements run the other way, and without overflow: falling ids, nulls last.
+    a = F.coalesce(F.bitwise_not(F.col(id_col).cast("long")), F.lit((1 << 63) - 1))
+    src = docs.select(a.alias("a"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // range_bytes))
+    cuts = src.agg(F.percentile_approx("a", [i / parts for i in range(1, parts)], 10 * max(1000, parts)).alias("q")).first().q or []
+    bounds = _ranges(cuts)
 
     @F.pandas_udf("int")
-    def bucket(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, k.to_numpy(np.int64), "left").astype(np.int32))
+    def bucket(a: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(_range_of(a.to_numpy(np.int64), h.to_numpy(np.int64), bounds))
 
-    tops = {r.b: r.top for r in src.select("k", bucket("k").alias("b")).groupBy("b").agg(F.max("k").alias("top")).collect()}
-    order = sorted(tops, reverse=True)
+    # One row a range: as many as there are tasks.
+    firsts = {r.b: (r.f.a, r.f.h) for r in src.select("a", "h", bucket("a", "h").alias("b")).groupBy("b").agg(F.min(F.struct("a", "h")).alias("f")).collect()}
+    order = sorted(firsts)
     before = {b: order[i - 1] for i, b in enumerate(order)}  # the first range's first row goes to the last
 
     @F.pandas_udf("array<struct<bucket int, extra boolean>>")
-    def places(k: pd.Series) -> pd.Series:
-        own = np.searchsorted(bounds, k.to_numpy(np.int64), "left")
-        return pd.Series([[{"bucket": int(b), "extra": False}, *([{"bucket": before[int(b)], "extra": True}] if tops[int(b)] == v else [])] for b, v in zip(own, k, strict=True)])
+    def places(a: pd.Series, h: pd.Series) -> pd.Series:
+        own = _range_of(a.to_numpy(np.int64), h.to_numpy(np.int64), bounds).tolist()
+        return pd.Series([[{"bucket": b, "extra": False}, *([{"bucket": before[b], "extra": True}] if firsts[b] == (x, y) else [])] for b, x, y in zip(own, a.tolist(), h.tolist(), strict=True)])
 
-    rows = src.select(F.inline(places("k")), "k", "doc_id", "text")
-    rows = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "extra", F.desc("k"), "text")
+    rows = src.select(F.inline(places("a", "h")), "a", "h", "doc_id", "text")
+    rows = rows.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "extra", "a", "h", "text")
     return rows.select("bucket", "extra", "doc_id", "text").mapInArrow(_pairs(size), _OUT)
