@@ -1,7 +1,8 @@
 """License scan (operator 9): DataFrame functions only.
 
-Sentences of a file, also those wrapped over several lines, are compared with licence templates by sparse TF-IDF cosine; a file without a
-statement of its own inherits from the nearest ancestor directory that holds a licence file.
+Sentences of a file, also those wrapped over several lines, are compared with licence templates by
+sparse TF-IDF cosine; a file without a statement of its own inherits from the nearest ancestor
+directory that holds a licence file.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 #: The usual header of the GNU licences, and which they are.
 _FREE = "you can redistribute it and/or modify it under the terms of the {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
 _GNU = (
@@ -125,14 +128,20 @@ def anchors(vectors: list[dict[str, float]], least: float) -> list[str]:
 
 
 def statements(files: DataFrame, least: float = 0.75, templates: tuple = TEMPLATES) -> DataFrame:
-    """``path, license, cosine``: the best statement of each file that has one (ties: by name)."""
+    """``path, license, cosine``: the best statement of each file that has one (ties: by name).
+
+    Document frequencies are counted for the words of the templates; any other word weighs as one
+    that no other text holds, so words beside a statement in its sentence lower its cosine. The
+    texts are read twice: for the frequencies, and for the units, which are written.
+    """
     spark = files.sparkSession
     texts = files.select("path", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n, df = frequencies(texts, vocabulary(templates))
     idf, vectors = weights(n, df, templates)
     pattern = r"(?<![a-z0-9])(" + "|".join(anchors(vectors, least)) + r")(?![a-z0-9])"
     has = lambda u: F.lower(u).rlike(pattern)
-    units = texts.where(has(F.col("text"))).select("path", F.posexplode(parts(F.col("text"), has)).alias("pos", "unit"), F.xxhash64("text").alias("version"))
+    found = texts.where(has(F.col("text"))).select("path", F.posexplode(parts(F.col("text"), has)).alias("pos", "unit"), F.xxhash64("text").alias("version"))
+    units = written(found, "units")
     key = ["path", "version", "pos"]
     tf = units.select(*key, F.explode(tokens(F.col("unit"))).alias("t")).groupBy(*key, "t").agg(F.count(F.lit(1)).alias("tf"))
     # Both tables are the templates': some hundred rows whatever the input.
@@ -164,7 +173,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", least
     files: the ancestors of each distinct directory are looked up once.
     """
     src = files.select(F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
-    own = statements(src.where("path is not null"), least, templates)
+    own = written(statements(src.where("path is not null"), least, templates), "own")
     paths = src.select("path", parent(F.col("path")).alias("dir"))
     licence_dirs = own.where(F.col("path").rlike(licence_file)).groupBy(parent(F.col("path")).alias("above")).agg(F.min(F.struct((-F.col("cosine")).alias("c"), "path", "license")).alias("b"))
     licence_dirs = licence_dirs.select("above", F.col("b.license").alias("dir_license"))

@@ -69,13 +69,16 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_files(docs: DataFrame) -> DataFrame:
-    """Documents as files of a tree: source / id range / smaller id range / file.
+    """Documents as files of a tree: source / range of 4096 ids / range of 64 ids / file.
 
-    The tables hold no paths. A short text stands for the NOTICE of its directory.
+    The tables hold no paths. Names come from ids alone: the first id of each range stands for the
+    NOTICE of its directory, whatever its text.
     """
     source = F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown"))
-    name = F.when(F.length("text") < 1200, F.concat(F.lit("NOTICE-"), F.col("doc_id"))).otherwise(F.concat(F.col("doc_id"), F.lit(".txt")))
-    return docs.select("doc_id", "text", F.concat_ws("/", source, F.expr("doc_id div 4096"), F.expr("doc_id div 64"), name).alias("path"))
+    large, small = F.expr("doc_id div 4096").cast("string"), F.expr("doc_id div 64").cast("string")
+    notice, file = F.concat(F.lit("NOTICE-"), F.col("doc_id")), F.concat(F.col("doc_id"), F.lit(".txt"))
+    path = F.when(F.expr("doc_id % 4096 = 0"), F.concat_ws("/", source, large, notice)).when(F.expr("doc_id % 8 = 0"), F.concat_ws("/", source, large, small, notice)).otherwise(F.concat_ws("/", source, large, small, file))
+    return docs.select("doc_id", "text", path.alias("path"))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
