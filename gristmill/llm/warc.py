@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+
 #: An empty gzip member; stands between records as the writer's row separator.
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff" "0300" "0000000000000000")
 MAGIC = b"\x1f\x8b\x08"
@@ -46,6 +48,22 @@ def record(kind: str, record_id: str, uri: str | None, payload: bytes, digest: s
     return "WARC/1.1\r\n".encode() + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+_CHECKED: set[str] = set()
+
+
+def _check_writer(spark: SparkSession) -> None:
+    """Raise unless Spark's text writer copies a string's bytes and the separator as they are."""
+    if spark.sparkContext.applicationId in _CHECKED:
+        return
+    path, data = f"{scratch_dir(spark)}/bytes", bytes(range(256))
+    row = spark.range(1, numPartitions=1).select(F.unhex(F.lit(data.hex())).cast("string"))
+    row.write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+    got = spark.read.format("binaryFile").load(path).where("length > 0").select("content").collect()
+    if [bytes(r.content) for r in got] != [data + EMPTY_MEMBER]:
+        raise RuntimeError("this Spark's text writer changes bytes; archives can't be written with it")
+    _CHECKED.add(spark.sparkContext.applicationId)
+
+
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit_bytes: int = 0, level: int = 1, date: str = DATE) -> None:
     """Write one record per row of ``pages`` below ``path``, on any file system Spark can write.
 
@@ -78,18 +96,45 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 
     rows = full.select("id", "url", "payload", "top").mapInArrow(members, "value binary")
     # Spark's text writer copies a string's bytes as they are, so members reach the file unchanged.
+    _check_writer(pages.sparkSession)
     rows.select(F.col("value").cast("string")).write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
 
 
-def _opener(path: str):
+def _place(path: str):
+    """(file system, path in it) of a path as Spark writes it; raises where pyarrow knows no such system."""
     from pyarrow import fs
 
-    if path.startswith("file:") or "://" not in path:
-        return fs.LocalFileSystem().open_input_file(re.sub(r"^file:/*", "/", path))
-    system, inner = fs.FileSystem.from_uri(path)
+    if path.startswith("file:") or "://" not in path and not path.startswith("dbfs:"):
+        return fs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
+    if path.startswith("dbfs:"):
+        return fs.LocalFileSystem(), "/dbfs/" + path.removeprefix("dbfs:").lstrip("/")
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
+
+
+def _opener(path: str):
+    system, inner = _place(path)
     return system.open_input_file(inner)
 
 
+class _Held:
+    """A file whose bytes Spark has read."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data = data
+
+    def size(self) -> int:
+        return len(self.data)
+
+    def read_at(self, n: int, at: int) -> bytes:
+        return self.data[at : at + n]
+
+    def __enter__(self) -> _Held:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        return None
+
+
 class _Window:
     """Bytes of a file by absolute position, read ahead in steps and let go behind."""
 
@@ -144,9 +189,9 @@ def _records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             at += 2
 
 
-def scan_range(path: str, start: int, stop: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
+def scan_range(path: str, start: int, stop: int, data: bytes | None = None) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(position, header, block) of the records whose member starts in [start, stop) of a file."""
-    with _opener(path) as file:
+    with _opener(path) if data is None else _Held(data) as file:
         win, at = _Window(file, start), start
         while at < stop:
             i = win.data.find(MAGIC, at - win.base)
@@ -187,20 +232,31 @@ def read(spark: SparkSession, path: str, split_bytes: int = 16 << 20, with_paylo
     ``payload_digest`` is the bare base32 SHA-1, computed from the payload of a response and
     taken from the header of a revisit; ``digest_ok`` says whether header and payload agree
     (null where either is missing). Bytes that are no WARC member are passed over. Spark lists
-    the files without reading them; a task holds one range and one record at a time.
+    the files without reading them; a task holds one range and one record at a time. Tasks open
+    files through pyarrow (local, HDFS, S3, GCS, Azure); of a store that only Spark's readers
+    know, a task takes whole files, which then may have 2 GB at most.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where("length > 0")
-    ranges = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranges = ranges.repartition(tasks)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    try:
+        _place(path)
+        whole = False
+    except (ValueError, OSError, NotImplementedError):
+        whole = True
+    if whole:
+        ranges = files.where("length > 0").select("path", F.lit(0).cast("long").alias("start"), "content")
+    else:
+        files = files.select("path", "length").where("length > 0")
+        ranges = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
+        ranges = ranges.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["file", "offset", "record_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "digest_ok", "payload"]
         types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.binary()]
         rows, held = [], 0
         for b in batches:
-            for file, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for at, head, block in scan_range(file, start, start + split_bytes):
+            for k, (file, start) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+                data = b.column(2)[k].as_py() if whole else None
+                for at, head, block in scan_range(file, start, len(data) if whole else start + split_bytes, data):
                     payload, n = _payload(head, block)
                     stated = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
                     digest = stated if payload is None else base32_sha1(payload)

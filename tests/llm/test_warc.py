@@ -75,3 +75,21 @@ def test_query_whole(spark, sf):
     pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
     got = queries.op3_warc(spark, sf).collect()
     assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to and f"urn:row:{r.refers_to}") for r in got) == brute(pages)
+
+
+def test_stores_that_only_spark_reads(spark, tmp_path, monkeypatch):
+    """Without a file system of its own the reader takes the bytes from Spark's."""
+    df = spark.createDataFrame([(i, f"http://x/{i}", "payload " * i) for i in range(30)], "page_id long, url string, html string")
+    warc.write(df.repartition(3), f"{tmp_path}/archive")
+    columns = ["file", "offset", "record_id", "payload_digest", "payload"]
+    want = sorted(tuple(r) for r in warc.read(spark, f"{tmp_path}/archive").select(*columns).collect())
+
+    def none(path):
+        raise ValueError("Unrecognized filesystem type")
+
+    monkeypatch.setattr(warc, "_place", none)
+    assert sorted(tuple(r) for r in warc.read(spark, f"{tmp_path}/archive").select(*columns).collect()) == want and len(want) == 30
+
+
+def test_places():
+    assert warc._place("file:///a/b")[1] == "/a/b" and warc._place("dbfs:/a/b")[1] == "/dbfs/a/b" and warc._place("/a/b")[1] == "/a/b"
