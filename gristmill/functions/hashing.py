@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import Counter
+from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,11 +64,19 @@ def hex64(text: Column) -> Column:
     return F.conv(text, 16, -10).cast("long")
 
 
-def bands(sig: Column, radius: int) -> Column:
-    """radius + 1 disjoint bit bands of a signature: within the radius two share at least one."""
-    n = radius + 1
+def bands(sig: Column, radius: int, match: int = 2) -> Column:
+    """All choices of ``match`` of radius + match bit blocks: within the radius two signatures share
+    at least one (N4, D15). With 25 bits a choice (radius 3) rows that are not near seldom meet."""
+    n = radius + match
     cuts = [64 * i // n for i in range(n + 1)]
-    return F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(F.shiftleft(sig, 64 - b), 64 - (b - a)).alias("value")) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))])
+    block = [F.shiftrightunsigned(F.shiftleft(sig, 64 - b), 64 - (b - a)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    out = []
+    for i, chosen in enumerate(combinations(range(n), match)):
+        value = block[chosen[0]]
+        for c in chosen[1:]:
+            value = F.shiftleft(value, cuts[c + 1] - cuts[c]).bitwiseOR(block[c])
+        out.append(F.struct(F.lit(i).alias("band"), value.alias("value")))
+    return F.array(*out)
 
 
 def sign_signature(vector: Column) -> Column:
@@ -77,19 +89,37 @@ def ordered_digest(column: Column, sep: str = "\n") -> Column:
     return F.sha2(F.array_join(F.sort_array(F.collect_list(column)), sep), 256)
 
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_SEEN: dict[bytes, bytes] = {}
+
+
+def _word_hash(word: bytes) -> bytes:
+    if (h := _SEEN.get(word)) is None:
+        if len(_SEEN) > 500_000:
+            _SEEN.clear()
+        h = _SEEN[word] = hashlib.md5(word).digest()[:8]
+    return h
+
+
+@F.pandas_udf(T.LongType())
+def _simhash(text: pd.Series) -> pd.Series:
+    out = []
+    for t in text:
+        words = Counter(_WORD.findall(t.encode())) if t else None
+        if not words:
+            out.append(None)
+            continue
+        bits = np.unpackbits(np.frombuffer(b"".join(map(_word_hash, words)), dtype=np.uint8).reshape(-1, 8), axis=1)
+        count = np.fromiter(words.values(), dtype=np.float64, count=len(words))
+        ones = count @ bits
+        out.append(int.from_bytes(np.packbits(2 * ones > count.sum()).tobytes(), "big", signed=True))
+    return pd.Series(out, dtype="Int64")
+
+
 def simhash(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, sig``: our 64-bit signature twin of an image hash, from md5 of each word (Q2).
 
-    Bit i is set where more words have it than not. One pre-aggregated pass; a text without words
-    has no row.
+    Bit i is set where more words have it than not. Row by row, each distinct word hashed once a
+    worker; a text without words has no row.
     """
-    words = df.select(F.col(id_col).alias("id"), F.explode(F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("w"))
-    h = words.select("id", hex64(F.substring(F.md5(F.col("w").cast("binary")), 1, 16)).alias("h"))
-    # Bits i and i + 32 are counted in the halves of one sum: exact below 2**31 words a text.
-    low = F.lit((1 << 32) - 1)
-    ones = h.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit((1 << 32) + 1))).alias(f"c{i}") for i in range(32)])
-    sig = F.lit(0).cast("long")
-    for i in range(32):
-        for bit, c in ((i, F.col(f"c{i}").bitwiseAND(low)), (i + 32, F.shiftrightunsigned(f"c{i}", 32))):
-            sig = sig.bitwiseOR(F.when(2 * c > F.col("n"), F.shiftleft(F.lit(1).cast("long"), bit)).otherwise(F.lit(0).cast("long")))
-    return ones.select("id", sig.alias("sig"))
+    return df.select(F.col(id_col).alias("id"), _simhash(F.col(text_col)).alias("sig")).where("sig is not null")

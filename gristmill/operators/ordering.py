@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -120,18 +121,28 @@ def numbered(df: DataFrame, order: list[str], name: str, digits: int = 2) -> Dat
 def chronological_cut(groups: DataFrame, key: str, first: str, n: str, train: float = 0.7, validation: float = 0.15) -> DataFrame:
     """The two boundaries in time order that best meet the shares.
 
-    ``groups`` is the small table of groups with their sizes; prefix sums meet themselves.
+    ``groups`` is the small table of groups with their sizes. For a first boundary the cost is a
+    parabola in the second one's prefix sum, so the sums beside its vertex are the ones to try.
     """
-    w = Window.orderBy(first, key)
-    p = groups.select(key, first, n, F.row_number().over(w).alias("i"), F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c"))
-    total = p.agg(F.max("c").alias("t"))
-    a, b = p.select(F.col("i").alias("i1"), F.col("c").alias("c1")), p.select(F.col("i").alias("i2"), F.col("c").alias("c2"))
-    pairs = a.join(b, F.col("i1") < F.col("i2")).crossJoin(F.broadcast(total)).where("c2 < t")
-    off = lambda c, share: F.pow(c / F.col("t") - share, F.lit(2))
-    cost = F.round(off(F.col("c1"), train) + off(F.col("c2") - F.col("c1"), validation) + off(F.col("t") - F.col("c2"), 1 - train - validation), 12)
-    best = pairs.agg(F.min(F.struct(cost.alias("cost"), "i1", "i2")).alias("b")).select("b.*")
-    split = F.when(F.col("i") <= F.col("i1"), "train").when(F.col("i") <= F.col("i2"), "validation").otherwise("test")
-    return p.crossJoin(F.broadcast(best)).select(key, split.alias("split"))
+    kind = dict(groups.dtypes)[key]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([first, key])
+        c = pdf[n].cumsum().to_numpy(np.float64)
+        t, best, test = c[-1], None, 1 - train - validation
+        for i in range(len(c) - 1):
+            vertex = (t * (1 + validation - test) + c[i]) / 2
+            for j in {np.searchsorted(c, vertex) - 1, np.searchsorted(c, vertex), i + 1, np.searchsorted(c, t) - 1}:
+                if i < j < len(c) and c[j] < t:
+                    cost = (c[i] / t - train) ** 2 + ((c[j] - c[i]) / t - validation) ** 2 + ((t - c[j]) / t - test) ** 2
+                    best = min(best or (np.inf,), (round(cost, 12), i, int(j)))
+        if best is None:
+            return pd.DataFrame({key: [], "split": []})
+        at = np.arange(len(c))
+        return pd.DataFrame({key: pdf[key], "split": np.where(at <= best[1], "train", np.where(at <= best[2], "validation", "test"))})
+
+    one = groups.select(key, F.col(first), F.col(n).cast("long").alias(n), F.lit(0).alias("__one"))
+    return one.groupBy("__one").applyInPandas(lambda pdf: run(pdf.drop(columns="__one")), f"{key} {kind}, split string")
 
 
 def greedy_fill(groups: DataFrame, key: str, n: str, targets: dict[str, float]) -> DataFrame:
@@ -153,20 +164,22 @@ def greedy_fill(groups: DataFrame, key: str, n: str, targets: dict[str, float])
     return groups.select(key, n, F.lit(0).alias("__one")).groupBy("__one").applyInPandas(lambda pdf: run(pdf.drop(columns="__one")), f"{key} {kind}, split string")
 
 
-def bootstrap(df: DataFrame, value: str, rounds: int, seed: int, statistic: Callable[[np.ndarray], float] = np.mean) -> DataFrame:
-    """Resampled statistics with numpy's generator, one row a round.
+#: Chances of at most 0, 1, 2, ... events of a Poisson variable with mean 1.
+POISSON = tuple(sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(9))
 
-    The evaluation column is bounded by the benchmark's size; it is shared with the tasks.
-    """
-    spark = df.sparkSession
-    data = spark.sparkContext.broadcast(np.array([r[0] for r in df.select(value).orderBy(value).collect()], dtype=np.float64))
 
-    def run(batches):
-        for b in batches:
-            got = [float(statistic(np.random.default_rng((seed, int(i))).choice(data.value, len(data.value)))) for i in b["id"]]
-            yield pd.DataFrame({"round": b["id"], "statistic": got})
+def bootstrap(df: DataFrame, key: str, value: str, rounds: int, seed: int) -> DataFrame:
+    """``round, statistic``: the mean of each Poisson resample, one row a round.
 
-    return spark.range(rounds).mapInPandas(run, "round long, statistic double")
+    A row's weight in a round is drawn by a hash of seed, round and key, so no task needs the
+    whole column and a retried one draws the same; with a cluster's key all its rows are drawn
+    together. Sums are combined before the shuffle.
+    """
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col("round").cast("string"), F.col(key).cast("string")).cast("binary")), 1, 8)
+    u = F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)
+    weight = sum((F.when(u >= p, 1).otherwise(0) for p in POISSON), F.lit(0))
+    rows = df.where(F.col(value).isNotNull()).select(F.col(key), F.col(value).cast("double").alias("v"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round"))
+    return rows.select("round", "v", weight.alias("w")).groupBy("round").agg((F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("statistic"))
 
 
 def spatial_holdout(df: DataFrame, x: str, cell: Column, share: float = 0.2) -> DataFrame:

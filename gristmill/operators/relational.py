@@ -68,11 +68,19 @@ def alias_anti(rows: DataFrame, key: str, aliases: str, frozen: DataFrame, name:
     return rows.join(hit, key, "left_anti")
 
 
+def signature_classes(sigs: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """``id, sig, n``: one row for each signature (and ``more`` columns), its least id and its rows.
+
+    Pairs are looked for between classes, so a group of equal rows is never expanded.
+    """
+    return sigs.groupBy("sig", *(more or [])).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+
+
 def signature_pairs(left: DataFrame, right: DataFrame, radius: int, id_col: str = "id", sig_col: str = "sig") -> DataFrame:
-    """Pairs within a Hamming radius, exact by the pigeonhole principle: r + 1 bands.
+    """Pairs within a Hamming radius, exact by the pigeonhole principle.
 
     A pair is made at the first band that it shares, so no pair is made twice and no distinct is
-    needed. Common band values are a skewed equi-join, which adaptive execution splits.
+    needed. Give it classes of equal signatures (``signature_classes``), not rows.
     """
     a = left.select(F.col(id_col).alias("a"), F.col(sig_col).alias("sa"), F.inline(bands(F.col(sig_col), radius)))
     b = right.select(F.col(id_col).alias("b"), F.col(sig_col).alias("sb"), F.inline(bands(F.col(sig_col), radius)))
@@ -81,17 +89,6 @@ def signature_pairs(left: DataFrame, right: DataFrame, radius: int, id_col: str
     return j.where(F.col("band") == same - 1).select("a", "b", hamming(F.col("sa"), F.col("sb")).alias("distance"))
 
 
-def nearest_signature(queries: DataFrame, reference: DataFrame, id_col: str = "id", sig_col: str = "sig") -> DataFrame:
-    """Per query the reference with the least distance, ties to the smaller id.
-
-    The distance is unbounded, so every query meets every reference: ``queries`` is the small
-    stated side (a benchmark). Minima are taken before the shuffle.
-    """
-    q, r = queries.select(F.col(id_col).alias("a"), F.col(sig_col).alias("sa")), reference.select(F.col(id_col).alias("b"), F.col(sig_col).alias("sb"))
-    near = q.join(r, how="cross").groupBy("a").agg(F.min(F.struct(hamming(F.col("sa"), F.col("sb")).alias("distance"), "b")).alias("m"))
-    return near.select("a", F.col("m.b").alias("b"), F.col("m.distance").alias("distance"))
-
-
 def interval_counts(spans: DataFrame, start: str, end: str, step: int, least: int) -> DataFrame:
     """Ticks covered by at least ``least`` spans, with the ids that cover them."""
     a, b = F.ceil(F.col(start) / step).cast("long"), F.floor(F.col(end) / step).cast("long")

@@ -82,7 +82,7 @@ def admitted(candidates: DataFrame, group: str, order: list[str], sig: str, radi
     return candidates.groupBy(group).applyInPandas(run, candidates.schema)
 
 
-def capped_share(df: DataFrame, group: str, order: list[Column], most: float, max_rounds: int = 200) -> DataFrame:
+def capped_share(df: DataFrame, group: str, order: list[Column], most: float, max_rounds: int = 10_000) -> DataFrame:
     """Remove rows of the largest group, last in order first, until no group exceeds the share.
 
     The loop runs over counts alone, one number a group; the rows are cut once at the end.
@@ -94,6 +94,8 @@ def capped_share(df: DataFrame, group: str, order: list[Column], most: float, ma
         if top is None or counts[top] <= most * total or len(counts) == 1:
             break
         counts[top] -= max(1, int(np.ceil((counts[top] - most * total) / (1 - most))))
+    else:
+        raise RuntimeError(f"no group's share settled below {most} in {max_rounds} rounds")
     from .ordering import top_per_key
 
     quota = df.sparkSession.createDataFrame(list(counts.items()), f"{group} {dict(df.dtypes)[group]}, __k long")

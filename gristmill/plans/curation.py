@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
-from ..operators import graph, ordering, quality, relational
+from ..operators import graph, ordering, quality, relational, search
 from ..session import written
 from ..tables import load
 
+#: Runs of a benchmark that are sent to all tasks at most: 8 bytes each.
+BROADCAST_RUNS = 2_000_000
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 KEY = r"lower(trim(regexp_replace(text, '\s+', ' ', 'g')))"
@@ -122,8 +124,6 @@ def selection_digest(spark, d):
     return _docs(spark, d).select("lang", F.sha2(F.col("doc_id").cast("string"), 256).alias("h")).groupBy("lang").agg(hashing.ordered_digest(F.col("h")).alias("digest"))
 
 
-
-
 @query(f"SELECT doc_id, {SPLIT} AS k1, CASE WHEN u < 0.65 THEN 'train' WHEN u < 0.8 THEN 'validation' ELSE 'test' END AS k3, CASE b % 10 WHEN 0 THEN 'validation' WHEN 1 THEN 'test' ELSE 'train' END AS k4 FROM (SELECT *, ('0x' || substr(sha256(doc_id::VARCHAR), 1, 8))::BIGINT AS b, b / 4294967295.0 AS u FROM documents)")
 def hash_splits(spark, d):
     """K1, K3, K4, K6: the split hashes side by side."""
@@ -216,14 +216,17 @@ _RUNS = "(SELECT {id}, unnest(list_transform(range(1, greatest(len(w) - 6, 1)),
 def benchmark_containment(spark, d):
     """Documents that share no run of eight words with a benchmark text.
 
-    Runs meet by hash in a semi join, so neither side is held against all of the other.
+    Runs meet by hash in a semi join: the benchmark's are counted, and sent to the documents if they
+    are few enough, so that the documents' runs need no shuffle.
     """
 
     def runs(df: DataFrame, key: str) -> DataFrame:
         words = df.select(key, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w")).where(F.size("w") >= 8)
         return words.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 7), lambda i: F.xxhash64(F.slice("w", i, 8)))).alias("r"))
 
-    hit = runs(_docs(spark, d), "doc_id").join(runs(load(spark, d, "benchmark"), "item_id").select("r"), "r", "left_semi").select("doc_id").distinct()
+    held = written(runs(load(spark, d, "benchmark"), "item_id").select("r").distinct(), "runs")
+    held = F.broadcast(held) if held.count() <= BROADCAST_RUNS else held
+    hit = runs(_docs(spark, d), "doc_id").join(held, "r", "left_semi").select("doc_id").distinct()
     return _docs(spark, d).select("doc_id").join(hit, "doc_id", "left_anti")
 
 
@@ -236,11 +239,32 @@ SIGS = f"w AS (SELECT doc_id AS id, ('0x' || substr(md5(unnest(list_filter(strin
 DIST = "(bit_count(xor(x.lo, y.lo)) + bit_count(xor(x.hi, y.hi)))"
 
 
-@query(f"WITH {SIGS} SELECT x.id AS a, y.id AS b, {DIST}::INT AS distance FROM g x JOIN g y ON x.id < y.id WHERE {DIST} <= 3")
+#: Classes of equal signatures: their least id and their rows.
+CLASSES = f"{SIGS}, c AS (SELECT lo, hi, min(id) AS id, count(*) AS n FROM g GROUP BY lo, hi)"
+
+
+@query(f"WITH {CLASSES} SELECT x.id AS a, y.id AS b, x.n AS n_a, y.n AS n_b, {DIST}::INT AS distance FROM c x JOIN c y ON x.id < y.id WHERE {DIST} <= 3")
 def near_signature_pairs(spark, d):
-    """Pairs within a Hamming radius."""
+    """Pairs of signature classes within a Hamming radius."""
+    return class_pairs(written(relational.signature_classes(signatures(spark, d)), "classes"), 3)
+
+
+def class_pairs(classes: DataFrame, radius: int) -> DataFrame:
+    near = relational.signature_pairs(classes, classes, radius).where("a < b")
+    size = classes.select("id", "n")
+    return near.join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b").select("a", "b", "n_a", "n_b", "distance")
+
+
+def class_members(sigs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``id, class_id, copies`` of every row."""
+    return sigs.join(classes.select("sig", F.col("id").alias("class_id"), F.col("n").alias("copies")), "sig").select("id", "class_id", "copies")
+
+
+@query(f"WITH {SIGS} SELECT id, min(id) OVER (PARTITION BY lo, hi) AS class_id, count(*) OVER (PARTITION BY lo, hi) AS copies FROM g")
+def signature_members(spark, d):
+    """The class of every signature, which with the pairs of classes says all near rows."""
     s = signatures(spark, d)
-    return relational.signature_pairs(s, s, 3).where("a < b")
+    return class_members(s, relational.signature_classes(s))
 
 
 BENCH_SIGS = SIGS.replace("doc_id", "item_id").replace("documents", "benchmark").replace("w AS", "bw AS").replace("g AS", "bg AS").replace("FROM w", "FROM bw")
@@ -250,28 +274,40 @@ BENCH_SIGS = SIGS.replace("doc_id", "item_id").replace("documents", "benchmark")
 def nearest_signatures(spark, d):
     """The nearest document of each benchmark text, ties to the smaller id."""
     bench = hashing.simhash(load(spark, d, "benchmark"), "item_id", "text")
-    return relational.nearest_signature(bench, signatures(spark, d))
+    return search.nearest_signature(bench, hashing.simhash(_docs(spark, d), "doc_id", "text"))
 
 
 @query(f"WITH RECURSIVE {SIGS}, e AS (SELECT x.id AS a, y.id AS b FROM g x JOIN g y ON x.id <> y.id WHERE {DIST} <= 3), r AS (SELECT a AS node, b AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a) SELECT node, least(node, min(seen)) AS component FROM r GROUP BY node")
 def signature_components(spark, d):
-    """Connected components of the near pairs."""
-    return graph.connected_components(near_signature_pairs(spark, d), "a", "b")
+    """Connected components of the near pairs; components of classes, then their members."""
+    s = signatures(spark, d)
+    classes = written(relational.signature_classes(s), "classes")
+    found = graph.connected_components(class_pairs(classes, 3), "a", "b").select(F.col("node").alias("class_id"), "component")
+    rows = class_members(s, classes).join(found, "class_id", "left").where("copies > 1 or component is not null")
+    return rows.select(F.col("id").alias("node"), F.coalesce("component", "class_id").alias("component"))
 
 
 @query()
 def greedy_signature_dedup(spark, d):
-    """Order-dependent greedy dedup; held to the sequential pass by a test."""
-    pairs = written(near_signature_pairs(spark, d), "pairs")
-    return quality.greedy_independent(signatures(spark, d).select("id"), pairs.select(F.col("a").alias("early"), F.col("b").alias("late")))
+    """Order-dependent greedy dedup; held to the sequential pass by a test. Of equal
+    signatures only the first can stay, so the pass runs over classes."""
+    classes = written(relational.signature_classes(signatures(spark, d)), "classes")
+    pairs = written(class_pairs(classes, 3), "pairs")
+    return quality.greedy_independent(classes.select("id"), pairs.select(F.col("a").alias("early"), F.col("b").alias("late")))
 
 
 @query(f"WITH {SIGS}, p AS (SELECT x.id AS a, y.id AS b, x.id % 3 AS sa, y.id % 3 AS sb FROM g x JOIN g y ON x.id < y.id AND x.id % 3 <> y.id % 3 WHERE {DIST} <= 3) SELECT DISTINCT CASE WHEN sa <> sb AND sa < sb THEN b ELSE a END AS id FROM p")
 def cross_split_rejects(spark, d):
-    """Of each cross-split near pair the one in the later split goes."""
-    p = near_signature_pairs(spark, d).where("a % 3 <> b % 3")
-    worse = F.greatest(F.struct((F.col("a") % 3).alias("s"), F.col("a").alias("id")), F.struct((F.col("b") % 3).alias("s"), F.col("b").alias("id")))
-    return p.select(worse["id"].alias("id")).distinct()
+    """Of each cross-split near pair the one in the later split goes: a row goes if the
+    first split among its own and its near classes is before its own split."""
+    s = signatures(spark, d)
+    classes = written(relational.signature_classes(s), "classes")
+    rows = class_members(s, classes).select("id", "class_id", (F.col("id") % 3).alias("s"))
+    own = rows.groupBy("class_id").agg(F.min("s").alias("s"))
+    p = class_pairs(classes, 3)
+    near = p.select(F.col("a").alias("class_id"), F.col("b").alias("other")).union(p.select("b", "a"))
+    first = near.join(own.toDF("other", "s"), "other").select("class_id", "s").union(own).groupBy("class_id").agg(F.min("s").alias("first"))
+    return rows.join(first, "class_id").where("first < s").select("id")
 
 
 @query("SELECT a, b, rank FROM (SELECT q.vec_id AS a, r.vec_id AS b, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.embedding::DOUBLE[], r.embedding::DOUBLE[]), 9) DESC, r.vec_id) AS rank FROM embeddings q JOIN embeddings r ON q.vec_id % 20 = 0 AND r.vec_id <> q.vec_id) WHERE rank <= 5")
@@ -279,9 +315,11 @@ def similarity_top_k(spark, d):
     """The five largest dot products of each query against all rows."""
     e = load(spark, d, "embeddings")
     q, r = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
-    dot = F.round(F.aggregate(F.zip_with("x", "y", lambda u, v: u.cast("double") * v), F.lit(0.0), lambda s, v: s + v), 9)
-    scored = q.join(r, F.col("a") != F.col("b")).select("a", "b", dot.alias("score"))
-    return ordering.top_per_key(scored, ["a"], [F.desc("score"), F.col("b")], 5).select("a", "b", "rank")
+    return search.dot_top_k(q, r, 5, vector_size(e))
+
+
+def vector_size(e: DataFrame) -> int:
+    return (e.where("embedding is not null").select(F.size("embedding")).first() or [0])[0]
 
 
 @query("SELECT lang, count(*) FILTER (t AND p) AS tp, count(*) FILTER (NOT t AND p) AS fp, count(*) FILTER (t AND NOT p) AS fn, count(*) FILTER (NOT t AND NOT p) AS tn, round(coalesce(tp / nullif(tp + fp, 0), 0), 9) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 9) AS recall FROM (SELECT lang, quality = 1 AS t, n_chars >= 500 AS p FROM documents JOIN labels USING (doc_id)) GROUP BY lang")
@@ -309,8 +347,13 @@ def average_precision(spark, d):
     return quality.average_precision(j, "n_chars", F.col("quality") == 1, "doc_id")
 
 
-@query()
+_U = "('0x' || substr(md5('7:' || r || ':' || doc_id), 1, 8))::BIGINT / 4294967296.0"
+_WEIGHT = " + ".join(f"(u >= {p!r})::INT" for p in ordering.POISSON)
+
+
+@query(f"WITH u AS (SELECT r, quality::DOUBLE AS v, {_U} AS u FROM labels, (SELECT unnest(range(200)) AS r) WHERE quality IS NOT NULL), s AS (SELECT r, sum(v * ({_WEIGHT})) / sum({_WEIGHT}) AS s FROM u GROUP BY r) SELECT round(quantile_cont(s, 0.025), 9) AS low, round(quantile_cont(s, 0.975), 9) AS high FROM s")
 def bootstrap_interval(spark, d):
-    """Percentile interval of the mean quality; random by numpy, held to a loop by a test."""
-    b = ordering.bootstrap(load(spark, d, "labels"), "quality", 200, 7)
-    return b.agg(F.percentile("statistic", F.lit(0.025)).alias("low"), F.percentile("statistic", F.lit(0.975)).alias("high"))
+    """Percentile interval of the mean quality over Poisson resamples."""
+    b = ordering.bootstrap(load(spark, d, "labels"), "doc_id", "quality", 200, 7)
+    p = lambda q: F.round(F.percentile("statistic", F.lit(q)), 9)
+    return b.agg(p(0.025).alias("low"), p(0.975).alias("high"))

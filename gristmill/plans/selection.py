@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sql
-from ..operators import ordering, selection
+from ..operators import ordering, search, selection
 from ..tables import load
-from .curation import query
+from .curation import query, vector_size
 
 
 @query("WITH n AS (SELECT lang, n_chars < 1000 AS short, source, count(*) AS n FROM documents GROUP BY ALL), o AS (SELECT lang, count(DISTINCT short) AS o FROM n GROUP BY lang), r AS (SELECT lang, short, sum(sqrt(n)) AS r FROM n GROUP BY ALL) SELECT lang, short, source, n, round(CASE lang WHEN 'en' THEN 0.5 WHEN 'de' THEN 0.3 ELSE 0 END / o * sqrt(n) / r, 9) AS mass FROM n JOIN o USING (lang) JOIN r USING (lang, short)")
@@ -54,10 +54,7 @@ def retrieval_metrics(spark, d):
     """Rank of the first right neighbour; the median is the lower middle."""
     e = load(spark, d, "embeddings")
     q, r = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("a"), F.col("embedding").alias("x"), F.col("label").alias("la")), e.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"), F.col("label").alias("lb"))
-    dot = F.round(F.aggregate(F.zip_with("x", "y", lambda u, v: u.cast("double") * v), F.lit(0.0), lambda s, v: s + v), 9)
-    scored = q.join(r, F.col("a") != F.col("b")).select("a", "b", dot.alias("score"), (F.col("la") == F.col("lb")).alias("hit"))
-    ranked = ordering.top_per_key(scored, ["a"], [F.desc("score"), F.col("b")], F.lit(1 << 40))
-    first = ranked.where("hit").groupBy("a").agg(F.min("rank").alias("first"))
+    first = search.first_hit_rank(q, r, vector_size(e))
     return first.agg(F.count(F.lit(1)).alias("queries"), F.round(F.avg((F.col("first") <= 1).cast("int")), 9).alias("recall_1"), F.round(F.avg((F.col("first") <= 5).cast("int")), 9).alias("recall_5"), F.round(F.avg("first"), 9).alias("mean_rank"), F.percentile_approx("first", 0.5, 1_000_000).cast("long").alias("median_rank"))
 
 

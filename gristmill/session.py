@@ -32,6 +32,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder that the driver and every executor can reach."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="gristmill-")
         spark.sparkContext.setCheckpointDir(top)
     return f"{top.rstrip('/')}/gristmill-{uuid.uuid4().hex}"

@@ -112,9 +112,35 @@ def test_thinning_and_fill(spark, sf):
 
 
 def test_bootstrap(spark):
-    data = np.arange(10.0)
-    got = {r.round: r.statistic for r in ordering.bootstrap(spark.createDataFrame([(float(x),) for x in data], "v double"), "v", 20, 7).collect()}
-    assert got == {i: float(np.mean(np.random.default_rng((7, i)).choice(data, 10))) for i in range(20)}
+    rows = [(i, float(i % 7)) for i in range(50)]
+    got = {r.round: r.statistic for r in ordering.bootstrap(spark.createDataFrame(rows, "id long, v double"), "id", "v", 20, 7).collect()}
+    weight = lambda r, i: sum(int(hashlib.md5(f"7:{r}:{i}".encode()).hexdigest()[:8], 16) / 2**32 >= p for p in ordering.POISSON)
+    for r in range(20):
+        w = [weight(r, i) for i, _ in rows]
+        assert abs(got[r] - sum(x * v for x, (_, v) in zip(w, rows, strict=True)) / sum(w)) < 1e-12
+
+
+def test_search_in_blocks(spark, monkeypatch):
+    """Blocks, ties, nulls and vectors of another length against plain loops."""
+    from gristmill.operators import search
+
+    monkeypatch.setattr(search, "QUERIES", 3)
+    monkeypatch.setattr(search, "ROWS", 4)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.integers(-1, 2, 3)], "ab"[i % 2]) for i in range(40)]
+    odd = [(50, [1.0], "a"), (51, None, "a"), (None, [1.0, 1.0, 1.0], "a"), (52, [1.0, None, 0.0], "b")]
+    df = spark.createDataFrame(rows + odd, "id long, v array<double>, l string").repartition(3)
+    q, r = df.where("id % 5 = 0").select(F.col("id").alias("a"), F.col("v").alias("x"), F.col("l").alias("la")), df.select(F.col("id").alias("b"), F.col("v").alias("y"), F.col("l").alias("lb"))
+    order = {a: sorted((-sum(x * y for x, y in zip(v, w, strict=True)), b, m) for b, w, m in rows if b != a) for a, v, _ in rows if a % 5 == 0}
+    got = search.dot_top_k(q.drop("la"), r.drop("lb"), 4, 3).collect()
+    assert sorted((x.a, x.rank, x.b) for x in got) == [(a, k + 1, o[k][1]) for a, o in sorted(order.items()) for k in range(4)]
+    first = {x.a: x.first for x in search.first_hit_rank(q, r, 3).collect()}
+    assert first == {a: next(k + 1 for k, (_, _, m) in enumerate(o) if m == "ab"[a % 2]) for a, o in order.items()}
+    assert search.dot_top_k(q.limit(0).drop("la"), r.drop("lb"), 4, 3).count() == 0
+    sigs = spark.createDataFrame([(i, int(x)) for i, x in enumerate(rng.integers(-(2**63), 2**63 - 1, 60))], "id long, sig long")
+    near = {x.a: (x.distance, x.b) for x in search.nearest_signature(sigs.where("id < 10"), sigs.where("id >= 10")).collect()}
+    s = {x.id: x.sig for x in sigs.collect()}
+    assert near == {a: min((((s[a] ^ s[b]) & (2**64 - 1)).bit_count(), b) for b in range(10, 60)) for a in range(10)}
 
 
 def test_gates(spark, tmp_path):
