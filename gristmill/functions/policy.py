@@ -52,6 +52,15 @@ def mean_difference(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y).cast("double")), F.lit(0.0), lambda s, v: s + v) / F.size(a)
 
 
+def split_name(name: Column, aliases: dict[str, str]) -> Column:
+    """A split's name by its alias, trimmed and in any case, else as it is in lower case."""
+    low = F.lower(F.trim(name))
+    out = low
+    for k, v in aliases.items():
+        out = F.when(low == k, v).otherwise(out)
+    return out
+
+
 def natural_key(name: Column) -> Column:
     """Digits padded to equal width, so that text order is number order."""
     parts = F.regexp_extract_all(name, F.lit(r"\d+|\D+"), 0)

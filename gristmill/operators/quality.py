@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
+from .graph import connected_components
 
 
 def greedy_independent(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -30,6 +31,33 @@ def greedy_independent(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100
     raise RuntimeError("the greedy pass did not settle")
 
 
+def keep_one_of_components(units: DataFrame, near: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows to exclude so that one row of each near component that crosses splits stays.
+
+    units: unit, cls, split (one for each signature class and split); near: a, b (classes within
+    the radius); rows: id, unit, rank. Only units of different splits are linked; of a component
+    the row with the least (rank, id) stays. No pair of rows is made: a class has a unit a split.
+    """
+    x, y = (units.toDF(f"u{s}", f"c{s}", f"s{s}") for s in "xy")
+    apart = F.col("sx") != F.col("sy")
+    across = near.join(x, F.col("a") == F.col("cx")).join(y, F.col("b") == F.col("cy")).where(apart).select("ux", "uy")
+    within = x.join(y, F.col("cx") == F.col("cy")).where(apart & (F.col("ux") < F.col("uy"))).select("ux", "uy")
+    found = connected_components(across.unionAll(within), "ux", "uy").select(F.col("node").alias("unit"), "component")
+    members = written(rows.join(found, "unit"), "members")
+    kept = members.groupBy("component").agg(F.min(F.struct("rank", "id")).alias("keep"))
+    return members.join(kept, "component").where(F.col("id") != F.col("keep.id")).select("id")
+
+
+def issue_log(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
+    """``check, severity, subject`` of every finding: the union of checks (name, severity, rows with
+    ``subject``), which stay apart so that one failing check hides no other (L4)."""
+    out = None
+    for name, severity, rows in checks:
+        part = rows.select(F.lit(name).alias("check"), F.lit(severity).alias("severity"), F.col("subject").cast("string").alias("subject"))
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
 def gate_table(actuals: DataFrame, gates: list[tuple[str, str, float, str]]) -> DataFrame:
     """(gate, actual, operator, target, severity, passed) from a one-row table.
 

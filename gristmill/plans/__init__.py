@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import activity, curation, review, selection  # noqa: F401  (the others register their queries with curation)
+from . import activity, basics, curation, review, selection, storage  # noqa: F401  (the others register their queries with curation)
 
 
 def queries() -> dict:

@@ -149,9 +149,13 @@ def rank_split(spark, d):
     return ordering.rank_split(_docs(spark, d), "source")
 
 
-@query()
+@query("""WITH RECURSIVE g AS (SELECT source, n, row_number() OVER (ORDER BY n DESC, source) AS i FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)),
+r AS (SELECT 0::BIGINT AS i, NULL::VARCHAR AS source, NULL::VARCHAR AS split, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c UNION ALL
+SELECT i, source, s, a + CASE WHEN s = 'train' THEN n ELSE 0 END, b + CASE WHEN s = 'validation' THEN n ELSE 0 END, c + CASE WHEN s = 'test' THEN n ELSE 0 END FROM
+(SELECT g.i, g.source, g.n, r.a, r.b, r.c, CASE WHEN r.a / 0.7::DOUBLE <= r.b / 0.15::DOUBLE AND r.a / 0.7::DOUBLE <= r.c / 0.15::DOUBLE THEN 'train' WHEN r.b / 0.15::DOUBLE <= r.c / 0.15::DOUBLE THEN 'validation' ELSE 'test' END AS s FROM r JOIN g ON g.i = r.i + 1))
+SELECT source, split FROM r WHERE i > 0""")
 def greedy_split(spark, d):
-    """Largest group first; sequential, held to a plain loop by a test."""
+    """Largest group first into the split with the least filled share."""
     g = _docs(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     return ordering.greedy_fill(g, "source", "n", {"train": 0.7, "validation": 0.15, "test": 0.15})
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import io
+import struct
 import tarfile
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -70,9 +72,14 @@ def _unsafe(name: str) -> bool:
 
 
 def archive_members(spark: SparkSession, path: str, names: set[str] | None = None) -> DataFrame:
-    """Members of tar and zip archives: ``file, member, size, unsafe, content``.
+    """Members of the tar and zip archives below ``path``; see ``members_of``."""
+    return members_of(spark.read.format("binaryFile").load(path).select("path", "content"), names)
 
-    An archive is one row of the binary source and is read in one task. The content of a member
+
+def members_of(archives: DataFrame, names: set[str] | None = None) -> DataFrame:
+    """``file, member, size, unsafe, content`` of archives (path, content).
+
+    An archive is one row and is read in one task, 2 GB at most. The content of a member
     with an unsafe path is null; ``names`` keeps only members with these base names.
     """
 
@@ -91,7 +98,105 @@ def archive_members(spark: SparkSession, path: str, names: set[str] | None = Non
                                 rows.append((file, m.name, m.size, _unsafe(m.name), None if _unsafe(m.name) else t.extractfile(m).read()))
                 yield pd.DataFrame(rows, columns=["file", "member", "size", "unsafe", "content"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, member string, size long, unsafe boolean, content binary")
+    return archives.mapInPandas(run, "file string, member string, size long, unsafe boolean, content binary")
+
+
+def zip_ranges(spark: SparkSession, read_at: Callable[[str, int, int], bytes], archives: DataFrame, wanted: DataFrame | None = None, tail: int = 1 << 16) -> DataFrame:
+    """``archive, member, size, content`` of remote zips by byte ranges.
+
+    archives: archive, length. ``read_at(archive, start, stop)`` fetches a range and runs in the
+    tasks. The directory at an archive's end is read first, then each member's own range by itself,
+    so members are spread over tasks and nothing is downloaded that is not ``wanted`` (archive,
+    member). Members are checked by their CRC; zip64 and encrypted members raise.
+    """
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for archive, length in zip(pdf["archive"], pdf["length"], strict=True):
+                end = read_at(archive, max(0, int(length) - tail), int(length))
+                at = end.rfind(b"PK\x05\x06")
+                if at < 0:
+                    raise ValueError(f"{archive}: no directory at its end")
+                count, size, start = struct.unpack("<HII", end[at + 10 : at + 20])
+                if count == 0xFFFF or start == 0xFFFFFFFF:
+                    raise ValueError(f"{archive}: zip64 is not read")
+                data, pos, out = read_at(archive, start, start + size), 0, []
+                for _ in range(count):
+                    flags, method, crc, packed, plain, n, extra, note, place = struct.unpack("<8xHH4xIIIHHH8xI", data[pos : pos + 46])
+                    if flags & 1:
+                        raise ValueError(f"{archive}: encrypted member")
+                    out.append((archive, data[pos + 46 : pos + 46 + n].decode("utf-8" if flags & 0x800 else "cp437"), plain, packed, method, crc, place))
+                    pos += 46 + n + extra + note
+                yield pd.DataFrame(out, columns=["archive", "member", "size", "packed", "method", "crc", "place"])
+
+    def fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                n, extra = struct.unpack("<HH", read_at(r.archive, r.place + 26, r.place + 30))
+                start = r.place + 30 + n + extra
+                raw = read_at(r.archive, start, start + r.packed)
+                data = raw if r.method == 0 else zlib.decompress(raw, -15)
+                if len(data) != r.size or zlib.crc32(data) != r.crc:
+                    raise ValueError(f"{r.archive}: {r.member} is damaged")
+                out.append((r.archive, r.member, r.size, data))
+            yield pd.DataFrame(out, columns=["archive", "member", "size", "content"])
+
+    found = archives.select("archive", "length").mapInPandas(listed, "archive string, member string, size long, packed long, method int, crc long, place long")
+    found = found.where(~F.col("member").endswith("/"))
+    if wanted is not None:
+        found = found.join(wanted, ["archive", "member"], "left_semi")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return found.repartition(parts, "archive", "place").mapInPandas(fetched, "archive string, member string, size long, content binary")
+
+
+def paged(spark: SparkSession, fetch: Callable[[int, int], str], total: int, length: int) -> DataFrame:
+    """``offset, body`` of a service that answers by pages (A17): ``fetch(offset, length)`` runs in the
+    tasks, one page a row. The first page's total says how many there are; no page waits for another."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"offset": pdf["id"], "body": [fetch(int(i), length) for i in pdf["id"]]})
+
+    return spark.range(0, total, length).mapInPandas(run, "offset long, body string")
+
+
+def shapefile_points(spark: SparkSession, path: str) -> DataFrame:
+    """``file, feature, part, kind, x, y``: the vertices of points, lines and polygons in .shp files.
+
+    Fixed values of the format: a header of 100 bytes, then records of a big-endian number and
+    length in 16-bit words, and a little-endian shape: 1 point, 3 line, 5 polygon, 8 multipoint.
+    """
+    kinds = {1: "point", 3: "line", 5: "polygon", 8: "multipoint"}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for file, data in zip(pdf["path"], pdf["content"], strict=True):
+                if struct.unpack(">i", data[:4])[0] != 9994:
+                    raise ValueError(f"{file} is no shapefile")
+                pos, out = 100, []
+                while pos + 12 <= len(data):
+                    number, words = struct.unpack(">ii", data[pos : pos + 8])
+                    body = data[pos + 8 : pos + 8 + 2 * words]
+                    kind = struct.unpack("<i", body[:4])[0]
+                    if kind == 1:
+                        out.append((file, number, 0, "point", *struct.unpack("<2d", body[4:20])))
+                    elif kind == 8:
+                        n = struct.unpack("<i", body[36:40])[0]
+                        out += [(file, number, 0, "multipoint", *struct.unpack("<2d", body[40 + 16 * k : 56 + 16 * k])) for k in range(n)]
+                    elif kind in (3, 5):
+                        parts, n = struct.unpack("<ii", body[36:44])
+                        starts = [*struct.unpack(f"<{parts}i", body[44 : 44 + 4 * parts]), n]
+                        at = 44 + 4 * parts
+                        for p, (a, b) in enumerate(zip(starts, starts[1:], strict=False)):
+                            out += [(file, number, p, kinds[kind], *struct.unpack("<2d", body[at + 16 * k : at + 16 * k + 16])) for k in range(a, b)]
+                    elif kind:
+                        raise ValueError(f"{file}: shapes of kind {kind} are not read")
+                    pos += 8 + 2 * words
+                yield pd.DataFrame(out, columns=["file", "feature", "part", "kind", "x", "y"])
+
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.shp").option("recursiveFileLookup", True).load(path)
+    return found.select("path", "content").mapInPandas(run, "file string, feature int, part int, kind string, x double, y double")
 
 
 def inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -40,6 +40,26 @@ def cross_tab(df: DataFrame, keys: list[str], path: str) -> None:
     df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).orderBy(*keys).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def json_report(df: DataFrame, path: str) -> None:
+    """One row as a JSON object with sorted keys, in one file (B2)."""
+    canonical(df.limit(2)).coalesce(1).write.mode("overwrite").text(path)
+
+
+def publish_folder(df: DataFrame, path: str, key: str) -> str:
+    """Write rows to a fresh folder below ``path`` named by a digest of their content, with a receipt
+    beside it that is written last; a reader that finds the receipt finds all rows (B10). Publishing
+    equal rows again gives the same name and writes nothing."""
+    spark = df.sparkSession
+    got = canonical(df).agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("line").cast("decimal(38,0)")).alias("h")).first()
+    name = f"{got.n}-{int(got.h or 0) & (1 << 64) - 1:016x}"
+    receipt = f"{path}/{name}.receipt"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(receipt)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        df.orderBy(key).write.mode("overwrite").parquet(f"{path}/{name}")
+        spark.createDataFrame([(name, got.n)], "name string, rows long").coalesce(1).write.mode("overwrite").json(receipt)
+    return name
+
+
 def write_shards(df: DataFrame, path: str, rows: int) -> None:
     """Files of at most ``rows`` rows."""
     df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -57,6 +57,22 @@ def parsed_log(lines: DataFrame) -> DataFrame:
     return hit.select(get(2).alias("metric"), get(1).cast("long").alias("step"), F.expr(f"try_cast(regexp_extract(value, '{pattern}', 3) AS double)".replace("\\", "\\\\")).alias("value")).where("value is not null and not isnan(value)")
 
 
+def accumulated(stream: DataFrame, keys: list[str], sums: dict[str, Column], path: str, checkpoint: str) -> StreamingQuery:
+    """Partial metrics of every micro-batch in a folder of its own (O5); a repeated batch replaces its
+    partials. ``total`` adds them up at the end, deleting ``path`` starts anew."""
+
+    def update(batch: DataFrame, number: int) -> None:
+        part = batch.groupBy(*keys).agg(*[F.sum(c).alias(k) for k, c in sums.items()])
+        part.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def total(spark: SparkSession, keys: list[str], sums: list[str], path: str) -> DataFrame:
+    """The metrics over all partials written so far."""
+    return spark.read.parquet(path).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def resumable(stream: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
     """Append rows whose key is not yet in the sink; replays add nothing."""
 
