@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,41 +149,63 @@ class Codec:
         order = np.lexsort((start, end))
         return begin, start[order], end[order], piece[order]
 
+    def _relax(self, a: int, low: int, high: int, first: list[int], start: list[int], piece: list[int], last: list[int], back: list[int]) -> None:
+        """Find the last piece of the best way to each position in (low, high] of the unit that
+        begins at ``a``; edges that end at position e are first[e - low] up to first[e - low + 1]."""
+        follow, memo, width, halves, singles = self.may_follow, self.follow.get, len(self.pieces), self.halves, self.singles
+        for e in range(low + 1, high + 1):
+            for k in range(first[e - low], first[e - low + 1]):
+                s, p = start[k], piece[k]
+                left = last[s] if s > a else -1
+                if left < 0:  # nothing merges across the unit's start or an unknown character
+                    if (s == a or last[s] == -2) and (p < singles or halves[p][0] >= 0):
+                        last[e], back[e] = p, s
+                        break
+                    continue
+                ok = memo(left * width + p)
+                if (follow(left, p) if ok is None else ok) and (p < singles or halves[p][0] >= 0):
+                    last[e], back[e] = p, s
+                    break
+            else:
+                last[e], back[e] = -2, e - 1  # an unknown character
+
+    def _ids(self, unit: str, a: int, last: list[int], back: list[int]) -> bytes:
+        """The ids on the best way through the unit that begins at ``a``."""
+        got, e = [], a + len(unit)
+        while e > a:
+            if last[e] >= 0:
+                got.append(int(self.ids[last[e]]))
+            else:
+                raw = unit[e - 1 - a].encode()
+                got += [self.bytes.get(x, self.unknown) for x in reversed(raw)] if self.bytes else [self.unknown]
+            e = back[e]
+        return np.array(got[::-1], dtype="<u4").tobytes()
+
+    def _long_unit(self, unit: str) -> bytes:
+        """One unit of any length, indexed in parts that overlap by the longest piece."""
+        last, back = array("i", [-1]) * (len(unit) + 1), array("i", [0]) * (len(unit) + 1)
+        for low in range(0, len(unit), INDEXED):
+            before, high = max(0, low - self.longest), min(len(unit), low + INDEXED)
+            _, start, end, piece = self.edges([unit[before:high]])
+            keep = end + before > low
+            first = np.searchsorted(end[keep] + before, np.arange(low, high + 2)).tolist()
+            self._relax(0, low, high, first, (start[keep] + before).tolist(), piece[keep].tolist(), last, back)
+        return self._ids(unit, 0, last, back)
+
     def encode_units(self, units: list[str]) -> list[bytes]:
         """The ids of each unit as little-endian 32-bit numbers."""
+        if any(len(u) > INDEXED for u in units):
+            short = [u for u in units if len(u) <= INDEXED]
+            done = iter(self.encode_units(short) if short else [])
+            return [self._long_unit(u) if len(u) > INDEXED else next(done) for u in units]
         begin, start, end, piece = self.edges(units)
         total = int(begin[-1])
-        first = np.searchsorted(end, np.arange(total + 1)).tolist()
-        first.append(len(end))
+        first = np.searchsorted(end, np.arange(total + 2)).tolist()
         start, piece = start.tolist(), piece.tolist()
-        last, back = [-1] * (total + 1), [0] * (total + 1)
-        follow, memo, width, halves, singles = self.may_follow, self.follow.get, len(self.pieces), self.halves, self.singles
-        ids, out = self.ids.tolist(), []
-        for u, (a, b) in zip(units, zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True), strict=True):
-            for e in range(a + 1, b):
-                for k in range(first[e], first[e + 1]):
-                    s, p = start[k], piece[k]
-                    left = last[s] if s > a else -1
-                    if left < 0:  # nothing merges across the unit's start or an unknown character
-                        if (s == a or last[s] == -2) and (p < singles or halves[p][0] >= 0):
-                            last[e], back[e] = p, s
-                            break
-                        continue
-                    ok = memo(left * width + p)
-                    if (follow(left, p) if ok is None else ok) and (p < singles or halves[p][0] >= 0):
-                        last[e], back[e] = p, s
-                        break
-                else:
-                    last[e], back[e] = -2, e - 1  # an unknown character
-            got, e = [], b - 1
-            while e > a:
-                if last[e] >= 0:
-                    got.append(ids[last[e]])
-                else:
-                    raw = u[e - 1 - a].encode()
-                    got += [self.bytes.get(x, self.unknown) for x in reversed(raw)] if self.bytes else [self.unknown]
-                e = back[e]
-            out.append(np.array(got[::-1], dtype="<u4").tobytes())
+        last, back, out = [-1] * (total + 1), [0] * (total + 1), []
+        for u, a in zip(units, begin[:-1].tolist(), strict=True):
+            self._relax(a, a, a + len(u), first[a : a + len(u) + 2], start, piece, last, back)
+            out.append(self._ids(u, a, last, back))
         return out
 
     def _pieces_apart(self, unit: str) -> list[str]:

@@ -37,6 +37,17 @@ def test_random_texts(codec):
     same(codec, ["".join(rng.choices("abeinrst ", k=200)) for _ in range(300)])
 
 
+def test_long_units(codec, monkeypatch):
+    """Units beyond the index's size are taken in parts; texts without any space among them."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abeinrst", k=900)), "ab" * 400 + " x", "日本語" * 100, "z\x00" + "anana" * 90, "word" * 150 + " " + "é" * 200]
+    for size in (17, 60, 301):
+        monkeypatch.setattr(sp_codec, "INDEXED", size)
+        codec.cache.clear()
+        codec.parts.clear()
+        same(codec, texts)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text(codec, text):
