@@ -67,6 +67,7 @@ def generalise(paths: DataFrame, max_kinds: int, min_share: float, min_rows: int
         rare = (F.col("cn") < min_share * F.col("total")) | (F.col("cn") < min_rows)
         vary = (F.col("kinds") > max_kinds) & rare & (F.col("s") != END)
         named = child.join(node, ["host", "g"]).select("host", "g", "s", F.when(vary, ANY).otherwise(F.col("s")).alias("label"), "paths")
+        named = written(named, f"named{k}")  # else the join below would keep all rows of a node together
         over = (F.col("paths") == 1) | (F.col("s") == END)
         rest = F.when(F.size("segs") > k, F.slice("segs", k + 1, F.greatest(F.size("segs") - k, F.lit(0)))).otherwise(F.array().cast("array<string>"))
         g = F.concat("g", F.when(over, rest).otherwise(F.array("label")))
@@ -99,8 +100,10 @@ def merge(leaf: DataFrame, z: float, effect: float, overlap: float) -> DataFrame
     named branches or few more, so its pairs are bounded.
     """
     out = leaf.withColumn("m", F.col("g"))
-    depth = leaf.agg(F.max(F.size("g"))).first()[0] or 0
-    for k in range(depth - 1, -1, -1):
+    levels = leaf.where("size(g) > 0").select("host", "g", F.explode(F.sequence(F.lit(0), F.size("g") - 1)).alias("k"))
+    nodes = levels.groupBy("k", "host", F.slice("g", 1, F.col("k")).alias("up")).agg(F.min(F.get("g", F.col("k"))).alias("one"), F.max(F.get("g", F.col("k"))).alias("other"))
+    branching = [r.k for r in nodes.where("one <> other").select("k").distinct().collect()]  # at most the depth
+    for k in sorted(branching, reverse=True):
         up, key = F.slice("m", 1, k), ["host", "up"]
         here = out.where(F.size("m") > k).select("host", up.alias("up"), F.get("m", F.lit(k)).alias("b"), F.slice("m", k + 2, F.greatest(F.size("m") - k - 1, F.lit(0))).alias("sub"), "n")
         spread = here.groupBy(*key, "b", "sub").agg(F.sum("n").alias("c"))
