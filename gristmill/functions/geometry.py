@@ -17,6 +17,12 @@ def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     return 2 * EARTH_M * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
 
 
+def ball(lon: Column, lat: Column) -> list[Column]:
+    """The point of a place on a sphere, in metres from its centre."""
+    p, q = F.radians(lat), F.radians(lon)
+    return [EARTH_M * F.cos(p) * F.cos(q), EARTH_M * F.cos(p) * F.sin(q), EARTH_M * F.sin(p)]
+
+
 def area(box: Column) -> Column:
     """Of an x, y, width, height box."""
     return F.get(box, 2) * F.get(box, 3)

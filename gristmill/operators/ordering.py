@@ -104,7 +104,7 @@ def rank_split(groups: DataFrame, key: str, train: float = 0.8, validation: floa
     return j.select(key, F.when(F.col("i") < F.floor(F.col("n") * train), "train").when(F.col("i") < F.floor(F.col("n") * validation), "validation").otherwise("test").alias("split"))
 
 
-def numbered(df: DataFrame, order: list[str], name: str, digits: int = 2) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], name: str, digits: int = 3) -> DataFrame:
     """Global zero-based numbers in the order of ``order``, whose first column is a hex digest.
 
     Buckets of the digest's first ``digits`` hex digits are numbered apart and shifted by the

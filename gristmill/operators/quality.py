@@ -116,11 +116,22 @@ def pick_threshold(swept: DataFrame) -> DataFrame:
 def average_precision(df: DataFrame, score: str, truth: Column, tie: str) -> DataFrame:
     """Area under the monotone precision-recall curve of one class (M4, for ranked retrieval).
 
-    Ranks need one order over the scored rows of a class; the class is the partition.
+    Rows are ranked within ranges of the score, cut at its quantiles; what lies before a range (its
+    ranks and hits) and after it (the best precision) comes from a table with a row a range.
     """
-    w = Window.orderBy(F.desc(score), tie)
-    r = df.select(truth.cast("int").alias("y"), score, tie).withColumn("k", F.row_number().over(w)).withColumn("tp", F.sum("y").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    total = F.sum("y").over(Window.partitionBy())
-    r = r.withColumn("precision", F.col("tp") / F.col("k")).withColumn("all", total)
-    best = F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing))
-    return r.withColumn("best", best).where("y = 1").agg(F.round(F.sum(F.col("best") / F.col("all")), 9).alias("average_precision"))
+    rows = df.select(truth.cast("int").alias("y"), F.col(score).alias("score"), F.col(tie).alias("tie"))
+    parts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = sorted(set(rows.agg(F.percentile_approx("score", [i / parts for i in range(1, parts)], 10_000).alias("q")).first().q or []))
+    bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>"), lambda c: c > F.col("score")))
+    rows = rows.withColumn("bucket", bucket)
+    w = Window.partitionBy("bucket").orderBy(F.desc("score"), "tie")
+    order = Window.orderBy("bucket")  # of a table with a row a range
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("hits"))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("hits").over(before), F.lit(0)).alias("tp0"), F.sum("hits").over(Window.partitionBy()).alias("all"))
+    r = rows.withColumn("k", F.row_number().over(w)).withColumn("tp", F.sum("y").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    r = r.join(F.broadcast(sizes), "bucket").withColumn("precision", (F.col("tp0") + F.col("tp")) / (F.col("n0") + F.col("k")))
+    tops = r.groupBy("bucket").agg(F.max("precision").alias("top"))
+    later = tops.select("bucket", F.coalesce(F.max("top").over(order.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0)).alias("later"))
+    r = r.withColumn("best", F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing))).where("y = 1").join(F.broadcast(later), "bucket")
+    return r.agg(F.round(F.sum(F.greatest("best", "later") / F.col("all")), 9).alias("average_precision"))

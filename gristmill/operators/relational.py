@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import geometry
 from ..functions.hashing import bands, hamming
 
 
@@ -89,6 +92,20 @@ def signature_pairs(left: DataFrame, right: DataFrame, radius: int, id_col: str
     return j.where(F.col("band") == same - 1).select("a", "b", hamming(F.col("sa"), F.col("sb")).alias("distance"))
 
 
+def within_metres(left: DataFrame, right: DataFrame, metres: float, keys: list[str] | None = None) -> DataFrame:
+    """Pairs of rows (lon1, lat1; lon2, lat2) at most ``metres`` apart, with their distance.
+
+    Places are points of a ball, dealt to cubes of that size; a chord is no longer than its arc, so
+    partners lie in the same or a neighbouring cube, at the poles and the date line too.
+    """
+    cell = lambda lon, lat, by: [F.floor(c / metres).cast("long") + d for c, d in zip(geometry.ball(F.col(lon), F.col(lat)), by, strict=True)]
+    a = left.withColumn("__cube", F.array(*cell("lon1", "lat1", (0, 0, 0))))
+    around = F.array(*[F.array(*cell("lon2", "lat2", by)) for by in product((-1, 0, 1), repeat=3)])
+    b = right.withColumn("__cube", F.explode(around))
+    far = F.round(geometry.haversine(F.col("lon1"), F.col("lat1"), F.col("lon2"), F.col("lat2")), 3)
+    return a.join(b, [*(keys or []), "__cube"]).withColumn("metres", far).where(F.col("metres") <= metres).drop("__cube")
+
+
 def interval_counts(spans: DataFrame, start: str, end: str, step: int, least: int) -> DataFrame:
     """Ticks covered by at least ``least`` spans, with the ids that cover them."""
     a, b = F.ceil(F.col(start) / step).cast("long"), F.floor(F.col(end) / step).cast("long")

@@ -158,10 +158,10 @@ def box_overlap(spark, d):
     return load(spark, d, "part").select(F.col("p_partkey").alias("p"), box.alias("a"), F.posexplode(fixed).alias("i", "b")).select("p", "i", F.round(geometry.iou(F.col("a"), F.col("b")), 9).alias("iou"))
 
 
-@query("SELECT c_custkey, s_suppkey, round(2 * 6371000 * asin(least(1.0, sqrt(pow(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2)))), 3) AS metres FROM (SELECT c_custkey, c_nationkey AS k, (c_custkey % 360 - 180)::DOUBLE AS lon1, (c_custkey % 160 - 80)::DOUBLE AS lat1 FROM customer) JOIN (SELECT s_suppkey, s_nationkey AS k, (s_suppkey % 360 - 180)::DOUBLE AS lon2, (s_suppkey % 160 - 80)::DOUBLE AS lat2 FROM supplier) USING (k)")
+@query("SELECT * FROM (SELECT c_custkey, s_suppkey, round(2 * 6371000 * asin(least(1.0, sqrt(pow(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2)))), 3) AS metres FROM (SELECT c_custkey, c_nationkey AS k, (c_custkey % 360 - 180)::DOUBLE AS lon1, (c_custkey % 160 - 80)::DOUBLE AS lat1 FROM customer) JOIN (SELECT s_suppkey, s_nationkey AS k, (s_suppkey % 360 - 180)::DOUBLE AS lon2, (s_suppkey % 160 - 80)::DOUBLE AS lat2 FROM supplier) USING (k)) WHERE metres <= 500000")
 def geodesic_pairs(spark, d):
-    """Distances within a nation."""
+    """Customers and suppliers of a nation within 500 km of each other."""
     at = lambda c, p: [(F.col(c) % 360 - 180).cast("double").alias(f"lon{p}"), (F.col(c) % 160 - 80).cast("double").alias(f"lat{p}")]
     c = load(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("k"), *at("c_custkey", 1))
     s = load(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("k"), *at("s_suppkey", 2))
-    return c.join(s, "k").select("c_custkey", "s_suppkey", F.round(geometry.haversine(F.col("lon1"), F.col("lat1"), F.col("lon2"), F.col("lat2")), 3).alias("metres"))
+    return relational.within_metres(c, s, 500_000.0, ["k"]).select("c_custkey", "s_suppkey", "metres")

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import math
 import random
 import tarfile
 import unicodedata
@@ -120,6 +121,22 @@ def test_bootstrap(spark):
         assert abs(got[r] - sum(x * v for x, (_, v) in zip(w, rows, strict=True)) / sum(w)) < 1e-12
 
 
+def test_within_metres(spark):
+    """All places within a radius, at the poles and across the date line too."""
+    rng = random.Random(8)
+    places = [(i, rng.uniform(-180, 180), rng.choice([rng.uniform(-90, 90), 89.9, -89.9])) for i in range(150)] + [(150, 179.99, 0.0), (151, -179.99, 0.0), (152, 0.0, 90.0)]
+    a, b = (spark.createDataFrame(places, f"{n} long, lon{k} double, lat{k} double") for n, k in (("a", 1), ("b", 2)))
+
+    def far(p, q):
+        x, y = (math.radians(v) for v in (p[2], q[2]))
+        h = math.sin((y - x) / 2) ** 2 + math.cos(x) * math.cos(y) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2
+        return 2 * geometry.EARTH_M * math.asin(min(1.0, math.sqrt(h)))
+
+    for metres in (5_000.0, 800_000.0):
+        got = {(r.a, r.b) for r in relational.within_metres(a, b, metres).collect()}
+        assert got == {(p[0], q[0]) for p in places for q in places if far(p, q) <= metres} and (150, 151) in got
+
+
 def test_search_in_blocks(spark, monkeypatch):
     """Blocks, ties, nulls and vectors of another length against plain loops."""
     from gristmill.operators import search
