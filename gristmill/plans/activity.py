@@ -43,7 +43,7 @@ def even_picks(spark, d):
     return ordering.even_picks(_events(spark, d), ["user_id"], [F.col("ts"), F.col("event_id")], 4).select("event_id", "user_id", "i")
 
 
-@query("""WITH RECURSIVE o AS (SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+@query("""WITH RECURSIVE o AS MATERIALIZED (SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
 r AS (SELECT event_id, user_id, ts, i, ts AS last, true AS kept FROM o WHERE i = 1 UNION ALL
 SELECT o.event_id, o.user_id, o.ts, o.i, CASE WHEN epoch_us(o.ts) - epoch_us(r.last) >= 3600000000 THEN o.ts ELSE r.last END, epoch_us(o.ts) - epoch_us(r.last) >= 3600000000 FROM r JOIN o ON o.user_id = r.user_id AND o.i = r.i + 1)
 SELECT event_id, user_id, ts FROM r WHERE kept""")

@@ -149,7 +149,7 @@ def rank_split(spark, d):
     return ordering.rank_split(_docs(spark, d), "source")
 
 
-@query("""WITH RECURSIVE g AS (SELECT source, n, row_number() OVER (ORDER BY n DESC, source) AS i FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)),
+@query("""WITH RECURSIVE g AS MATERIALIZED (SELECT source, n, row_number() OVER (ORDER BY n DESC, source) AS i FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)),
 r AS (SELECT 0::BIGINT AS i, NULL::VARCHAR AS source, NULL::VARCHAR AS split, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c UNION ALL
 SELECT i, source, s, a + CASE WHEN s = 'train' THEN n ELSE 0 END, b + CASE WHEN s = 'validation' THEN n ELSE 0 END, c + CASE WHEN s = 'test' THEN n ELSE 0 END FROM
 (SELECT g.i, g.source, g.n, r.a, r.b, r.c, CASE WHEN r.a / 0.7::DOUBLE <= r.b / 0.15::DOUBLE AND r.a / 0.7::DOUBLE <= r.c / 0.15::DOUBLE THEN 'train' WHEN r.b / 0.15::DOUBLE <= r.c / 0.15::DOUBLE THEN 'validation' ELSE 'test' END AS s FROM r JOIN g ON g.i = r.i + 1))
@@ -291,10 +291,14 @@ def signature_components(spark, d):
     return rows.select(F.col("id").alias("node"), F.coalesce("component", "class_id").alias("component"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {CLASSES}, o AS MATERIALIZED (SELECT id, lo, hi, row_number() OVER (ORDER BY id) AS i FROM c),
+r AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS id, false AS ok, []::STRUCT(lo BIGINT, hi BIGINT)[] AS kept UNION ALL
+SELECT i, id, ok, CASE WHEN ok THEN list_append(kept, {{'lo': lo, 'hi': hi}}) ELSE kept END FROM
+(SELECT o.*, r.kept, len(list_filter(r.kept, lambda k: bit_count(xor(k.lo, o.lo)) + bit_count(xor(k.hi, o.hi)) <= 3)) = 0 AS ok FROM r JOIN o ON o.i = r.i + 1))
+SELECT id FROM r WHERE ok""")
 def greedy_signature_dedup(spark, d):
-    """Order-dependent greedy dedup; held to the sequential pass by a test. Of equal
-    signatures only the first can stay, so the pass runs over classes."""
+    """Order-dependent greedy dedup. Of equal signatures only the first can stay, so the
+    pass runs over classes."""
     classes = written(relational.signature_classes(signatures(spark, d)), "classes")
     pairs = written(class_pairs(classes, 3), "pairs")
     return quality.greedy_independent(classes.select("id"), pairs.select(F.col("a").alias("early"), F.col("b").alias("late")))

@@ -104,7 +104,7 @@ def box_matches(spark, d):
     return selection.match_boxes(truth, l.select(F.col("l_orderkey").alias("image"), cls, t.alias("p"), F.col("l_discount").alias("score"), box(3.0).alias("box")), 0.5)
 
 
-@query(f"""WITH RECURSIVE {SIGS}, o AS (SELECT doc_id, source, -n_chars AS "order", lo, hi, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS i FROM documents JOIN g ON g.id = doc_id),
+@query(f"""WITH RECURSIVE {SIGS}, o AS MATERIALIZED (SELECT doc_id, source, -n_chars AS "order", lo, hi, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS i FROM documents JOIN g ON g.id = doc_id),
 r AS (SELECT doc_id, source, "order", i, [{{'lo': lo, 'hi': hi}}] AS kept, true AS admitted FROM o WHERE i = 1 UNION ALL
 SELECT doc_id, source, "order", i, CASE WHEN ok THEN list_append(kept, {{'lo': lo, 'hi': hi}}) ELSE kept END, ok FROM
 (SELECT o.*, r.kept, len(r.kept) < 8 AND len(list_filter(r.kept, lambda k: bit_count(xor(k.lo, o.lo)) + bit_count(xor(k.hi, o.hi)) <= 3)) = 0 AS ok FROM r JOIN o ON o.source IS NOT DISTINCT FROM r.source AND o.i = r.i + 1))

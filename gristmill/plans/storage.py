@@ -88,7 +88,7 @@ def archive_round_trip(spark, d):
     return files.members_of(zips.select(F.col("shard").alias("path"), F.col("archive").alias("content"))).select("member", "size", F.sha2("content", 256).alias("sha256"))
 
 
-@query("""WITH RECURSIVE o AS (SELECT source, doc_id, n_chars + 4096 AS need, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
+@query("""WITH RECURSIVE o AS MATERIALIZED (SELECT source, doc_id, n_chars + 4096 AS need, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
 r AS (SELECT source, doc_id, rn, need AS used, 0 AS shard FROM o WHERE rn = 1 UNION ALL
 SELECT o.source, o.doc_id, o.rn, CASE WHEN r.used + o.need > 100000 THEN o.need ELSE r.used + o.need END, CASE WHEN r.used + o.need > 100000 THEN r.shard + 1 ELSE r.shard END FROM r JOIN o ON o.source = r.source AND o.rn = r.rn + 1)
 SELECT source, doc_id, shard::BIGINT AS shard FROM r""")
