@@ -75,16 +75,16 @@ def paired_events(spark, d):
     return selection.nearest_in_time(e.where("kind = 'a'").drop("kind"), e.where("kind = 'b'").drop("kind"), "user_id", 300.0)
 
 
-@query("""WITH RECURSIVE c AS (SELECT list({'s': source, 'n': n}) AS l FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)),
+@query("""WITH RECURSIVE c AS (SELECT list({'s': lang, 'n': n}) AS l FROM (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang)),
 r AS (SELECT 0 AS i, l FROM c UNION ALL
-SELECT i + 1, list_transform(l, lambda x: CASE WHEN x.s = t.s THEN {'s': x.s, 'n': x.n - greatest(1, ceil((x.n - 0.052::DOUBLE * total) / (1 - 0.052::DOUBLE)))::BIGINT} ELSE x END) FROM
-(SELECT i, l, list_sum(list_transform(l, lambda x: x.n)) AS total, list_sort(list_transform(l, lambda x: {'n': x.n, 's': x.s}), 'DESC')[1] AS t FROM r) WHERE t.n > 0.052::DOUBLE * total AND len(l) > 1),
+SELECT i + 1, list_transform(l, lambda x: CASE WHEN x.s = t.s THEN {'s': x.s, 'n': x.n - greatest(1, ceil((x.n - 0.3::DOUBLE * total) / (1 - 0.3::DOUBLE)))::BIGINT} ELSE x END) FROM
+(SELECT i, l, list_sum(list_transform(l, lambda x: x.n)) AS total, list_sort(list_transform(l, lambda x: {'n': x.n, 's': x.s}), 'DESC')[1] AS t FROM r) WHERE t.n > 0.3::DOUBLE * total AND len(l) > 1),
 q AS (SELECT unnest(l) AS u FROM (SELECT l FROM r ORDER BY i DESC LIMIT 1))
-SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY sha256(doc_id::VARCHAR), doc_id) AS k FROM documents) d JOIN q ON d.source = u.s WHERE k <= u.n""")
+SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256(doc_id::VARCHAR), doc_id) AS k FROM documents) d JOIN q ON d.lang = u.s WHERE k <= u.n""")
 def capped_sources(spark, d):
-    """No source above a share."""
-    docs = load(spark, d, "documents").select("doc_id", "source")
-    return selection.capped_share(docs, "source", [F.sha2(F.col("doc_id").cast("string"), 256), F.col("doc_id")], 0.052)
+    """No language above a share."""
+    docs = load(spark, d, "documents").select("doc_id", "lang").where("lang is not null")
+    return selection.capped_share(docs, "lang", [F.sha2(F.col("doc_id").cast("string"), 256), F.col("doc_id")], 0.3)
 
 
 @query("SELECT ('0x' || substr(sha256(lower(trim(regexp_replace(url, '\\s+', ' ', 'g')))), 1, 8))::BIGINT % 97 AS bucket, count(*) AS n FROM pages GROUP BY 1")
