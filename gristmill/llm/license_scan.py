@@ -127,6 +127,27 @@ def anchors(vectors: list[dict[str, float]], least: float) -> list[str]:
     return sorted(out)
 
 
+def may_reach(unit: Column, idf: dict[str, float], unseen: float, least: float) -> Column:
+    """Whether a unit can have a cosine of ``least`` with any template: template words alone make up
+    that share of its length. One pass over the sorted words, in the row, before any word is a row."""
+    table = F.create_map(*[F.lit(x) for item in sorted(idf.items()) for x in item])
+
+    def closed(s: Column) -> tuple[Column, Column]:
+        known = F.try_element_at(table, s["word"])
+        w = s["run"] * F.coalesce(known, F.lit(unseen))
+        k = s["run"] * F.coalesce(known, F.lit(0.0))
+        return s["all"] + w * w, s["known"] + k * k
+
+    def state(word: Column, run: Column, both: tuple[Column, Column]) -> Column:
+        return F.struct(word.alias("word"), run.alias("run"), both[0].alias("all"), both[1].alias("known"))
+
+    def step(s: Column, t: Column) -> Column:
+        return F.when(t == s["word"], state(s["word"], s["run"] + 1, (s["all"], s["known"]))).otherwise(state(t, F.lit(1), closed(s)))
+
+    start = state(F.lit(""), F.lit(0), (F.lit(0.0), F.lit(0.0)))
+    return F.aggregate(F.array_sort(tokens(unit)), start, step, lambda s: closed(s)[1] >= (least * least - 1e-6) * closed(s)[0])
+
+
 def statements(files: DataFrame, least: float = 0.75, templates: tuple = TEMPLATES) -> DataFrame:
     """``path, license, cosine``: the best statement of each file that has one (ties: by name).
 
@@ -141,14 +162,14 @@ def statements(files: DataFrame, least: float = 0.75, templates: tuple = TEMPLAT
     pattern = r"(?<![a-z0-9])(" + "|".join(anchors(vectors, least)) + r")(?![a-z0-9])"
     has = lambda u: F.lower(u).rlike(pattern)
     found = texts.where(has(F.col("text"))).select("path", F.posexplode(parts(F.col("text"), has)).alias("pos", "unit"), F.xxhash64("text").alias("version"))
-    units = written(found, "units")
+    unseen = math.log(1 + n) + 1  # a word outside of the vocabulary counts as one seen nowhere else
+    units = written(found.where(may_reach(F.col("unit"), idf, unseen, least)), "units")
     key = ["path", "version", "pos"]
     tf = units.select(*key, F.explode(tokens(F.col("unit"))).alias("t")).groupBy(*key, "t").agg(F.count(F.lit(1)).alias("tf"))
     # Both tables are the templates': some hundred rows whatever the input.
     idf_rows = F.broadcast(spark.createDataFrame(sorted(idf.items()), "t string, idf double"))
     vector_rows = F.broadcast(spark.createDataFrame([(i, t, x) for i, v in enumerate(vectors) for t, x in v.items()], "template int, t string, x double"))
     names = F.broadcast(spark.createDataFrame([(i, name) for i, (name, _) in enumerate(templates)], "template int, license string"))
-    unseen = math.log(1 + n) + 1  # a word outside of the vocabulary counts as one seen nowhere else
     weighed = tf.join(idf_rows, "t", "left").select(*key, "t", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("w"))
     norm = weighed.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dot = weighed.join(vector_rows, "t").groupBy(*key, "template").agg(F.sum(F.col("w") * F.col("x")).alias("dot"))
