@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -64,19 +62,13 @@ def hex64(text: Column) -> Column:
     return F.conv(text, 16, -10).cast("long")
 
 
-def bands(sig: Column, radius: int, match: int = 2) -> Column:
-    """All choices of ``match`` of radius + match bit blocks: within the radius two signatures share
-    at least one (N4, D15). With 25 bits a choice (radius 3) rows that are not near seldom meet."""
+def band_masks(radius: int, match: int = 2) -> list[int]:
+    """Masks of all choices of ``match`` of radius + match bit blocks: within the radius two signatures
+    agree under at least one (N4, D15). With 25 bits a choice (radius 3) rows that are not near seldom meet."""
     n = radius + match
     cuts = [64 * i // n for i in range(n + 1)]
-    block = [F.shiftrightunsigned(F.shiftleft(sig, 64 - b), 64 - (b - a)) for a, b in zip(cuts, cuts[1:], strict=False)]
-    out = []
-    for i, chosen in enumerate(combinations(range(n), match)):
-        value = block[chosen[0]]
-        for c in chosen[1:]:
-            value = F.shiftleft(value, cuts[c + 1] - cuts[c]).bitwiseOR(block[c])
-        out.append(F.struct(F.lit(i).alias("band"), value.alias("value")))
-    return F.array(*out)
+    block = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [sum(chosen) for chosen in combinations(block, match)]
 
 
 def sign_signature(vector: Column) -> Column:
@@ -89,37 +81,46 @@ def ordered_digest(column: Column, sep: str = "\n") -> Column:
     return F.sha2(F.array_join(F.sort_array(F.collect_list(column)), sep), 256)
 
 
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_SEEN: dict[bytes, bytes] = {}
+class _Words(dict):
+    """The first 8 bytes of the md5 of each word met; long words are not kept."""
 
+    def __missing__(self, word: bytes) -> bytes:
+        h = hashlib.md5(word).digest()[:8]
+        if len(word) <= 64:
+            if len(self) > 500_000:
+                self.clear()
+            self[word] = h
+        return h
 
-def _word_hash(word: bytes) -> bytes:
-    if (h := _SEEN.get(word)) is None:
-        if len(_SEEN) > 500_000:
-            _SEEN.clear()
-        h = _SEEN[word] = hashlib.md5(word).digest()[:8]
-    return h
+
+_SEEN = _Words()
+#: The bits of each byte, a byte each, as one number: sums of up to 255 of them do not carry.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+#: Words summed before lanes are widened, and words of a text taken at a time.
+_LANE, _PART = 255, 255 * 64
+
+
+def _signature(text: str | None) -> int | None:
+    words = text.encode().split() if text else None  # bytes split at \x20 and \x09-\x0D, and nowhere else
+    if not words:
+        return None
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(words), _PART):
+        part = np.frombuffer(b"".join(map(_SEEN.__getitem__, words[at : at + _PART])), dtype=np.uint8).reshape(-1, 8)
+        sums = np.add.reduceat(_SPREAD[part], np.arange(0, len(part), _LANE), axis=0)
+        ones += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(words)).tobytes(), "big", signed=True)
 
 
 @F.pandas_udf(T.LongType())
 def _simhash(text: pd.Series) -> pd.Series:
-    out = []
-    for t in text:
-        words = Counter(_WORD.findall(t.encode())) if t else None
-        if not words:
-            out.append(None)
-            continue
-        bits = np.unpackbits(np.frombuffer(b"".join(map(_word_hash, words)), dtype=np.uint8).reshape(-1, 8), axis=1)
-        count = np.fromiter(words.values(), dtype=np.float64, count=len(words))
-        ones = count @ bits
-        out.append(int.from_bytes(np.packbits(2 * ones > count.sum()).tobytes(), "big", signed=True))
-    return pd.Series(out, dtype="Int64")
+    return pd.Series([_signature(t) for t in text], dtype="Int64")
 
 
 def simhash(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, sig``: our 64-bit signature twin of an image hash, from md5 of each word (Q2).
 
     Bit i is set where more words have it than not. Row by row, each distinct word hashed once a
-    worker; a text without words has no row.
+    worker, bits counted eight lanes at a time; a text without words has no row.
     """
     return df.select(F.col(id_col).alias("id"), _simhash(F.col(text_col)).alias("sig")).where("sig is not null")

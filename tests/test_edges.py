@@ -1,10 +1,17 @@
 """Queries and operators on inputs that the small tables do not hold."""
 
+import hashlib
+import random
+
 import duckdb
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 
 from gristmill import plans
+from gristmill.functions import hashing
+from gristmill.operators import near, relational
 
 
 def against_sql(spark, folder, name, **tables):
@@ -29,3 +36,60 @@ def test_active_users_outside_the_range_and_between_seconds(spark, tmp_path):
     events = pa.table({"event_id": range(len(stamps)), "user_id": [u for u, _ in stamps], "ts": pa.array([t for _, t in stamps], pa.timestamp("us"))})
     got, want = against_sql(spark, tmp_path, "active_users", events=events)
     assert got == want and [r[1] // 86400 - start // day for r in got] == [0, 1, 2, 3, 6, 9, 10]
+
+
+def signed(sig):
+    return sig - (1 << 64) if sig >> 63 else sig
+
+
+def close(count, seed, flips=6):
+    """Signatures around one, with a few bits changed: all of a band or two."""
+    rng = random.Random(seed)
+    base = rng.getrandbits(64)
+    return sorted({base ^ sum(1 << i for i in rng.sample(range(64), rng.randint(0, flips))) for _ in range(count)})
+
+
+def near_by_force(sigs, radius):
+    return {(i, j, d) for i in range(len(sigs)) for j in range(i + 1, len(sigs)) if (d := (sigs[i] ^ sigs[j]).bit_count()) <= radius}
+
+
+def test_near_signatures_make_no_row_for_a_pair_that_is_only_compared(spark):
+    sigs = close(700, 5)
+    df = spark.createDataFrame([(i, signed(s), 1) for i, s in enumerate(sigs)], "id long, sig long, n long")
+    found = relational.signature_pairs(df, df, 3)
+    assert "Join" not in found._jdf.queryExecution().toString()
+    got = [tuple(r) for r in found.where("a < b").collect()]
+    assert len(got) == len(set(got)) and set(got) == near_by_force(sigs, 3)
+    once = [tuple(r) for r in relational.class_pairs(df, 3).collect()]
+    assert sorted(once) == sorted(got)
+
+
+def test_large_bands_are_dealt_in_blocks(monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 40)
+    monkeypatch.setattr(near, "CHUNK", 500)
+    sigs, masks = close(300, 6) + close(25, 7) + [random.Random(8).getrandbits(64) for _ in range(50)], hashing.band_masks(4)
+    rows = sorted((hash((k, s & m)), i, signed(s), k, 3) for i, s in enumerate(sigs) for k, m in enumerate(masks))
+    table = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["k", "id", "sig", "band", "side"])
+    pairs, got, units = near._Pairs(masks, 4, True), [], 0
+    for b in near._passed(iter(table.to_batches(max_chunksize=70)), pairs):
+        for a, c, d, x, y in zip(*(col.to_pylist() for col in b.columns), strict=True):
+            if x is None:
+                got.append((a, c, d))
+            else:
+                units += 1
+                pairs.blocks(np.frombuffer(x, near._ROW), None if y is None else np.frombuffer(y, near._ROW))
+    while (found := pairs.taken()) is not None:
+        got += zip(*(c.to_pylist() for c in found.columns[:3]), strict=True)
+    assert units > 10 and len(got) == len(set(got)) and set(got) == near_by_force(sigs, 4)
+
+
+def test_signatures_of_long_and_odd_texts():
+    rng = random.Random(2)
+    texts = [None, "", " \t\n", "a", "a b", "x\x1cy\x0bz\x85 \xa0", "é" * 100 + " z"] + [" ".join(rng.choices("abcdefg", k=n)) for n in (254, 255, 256, 16319, 16320, 16321, 40000)]
+
+    def plain(text):
+        words = [w for w in "".join(" " if c in " \t\n\x0b\x0c\r" else c for c in text or "").split(" ") if w]
+        hashes = [int(hashlib.md5(w.encode()).hexdigest()[:16], 16) for w in words]
+        return signed(sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))) if words else None
+
+    assert hashing._simhash.func(pd.Series(texts)).astype(object).where(lambda s: s.notna(), None).tolist() == [plain(t) for t in texts]
