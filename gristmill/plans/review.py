@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry, hashing, policy, signals
-from ..operators import audit, ordering, quality, relational, selection
+from ..operators import audit, near, ordering, quality, relational, selection
 from ..session import written
 from ..tables import load
-from .curation import BUCKET, CLASSES, DIST, SIGS, SPLIT, query, signatures
+from .curation import BUCKET, CLASSES, DIST, SIGS, SPLIT, query, signatures, with_sizes
 
 _PATH = "regexp_replace(url, '^[a-z]+://[^/]*/?', '')"
 
@@ -68,13 +68,12 @@ _TURNED = "(bit_count(xor(x.lo, y.hi)) + bit_count(xor(x.hi, y.lo)))"
 @query(f"WITH {CLASSES} SELECT x.id AS a, y.id AS b, x.n AS n_a, y.n AS n_b, least({DIST}, {_TURNED})::INT AS distance FROM c x JOIN c y ON x.id < y.id WHERE least({DIST}, {_TURNED}) <= 4")
 def mirrored_pairs(spark, d):
     """Near signature classes, mirrored ones (here: halves swapped) included. Mirroring both sides
-    changes no distance, so signatures meet signatures and mirrors."""
+    changes no distance, so signatures meet signatures and, as second ones, mirrors."""
     plain = written(relational.signature_classes(signatures(spark, d)), "classes")
     turned = F.shiftleft("sig", 32).bitwiseOR(F.shiftrightunsigned("sig", 32))
-    both = plain.select("id", F.explode(F.array(F.col("sig"), turned)).alias("sig"))
-    p = relational.signature_pairs(plain, both, 4).where("a < b").groupBy("a", "b").agg(F.min("distance").alias("distance"))
-    size = plain.select("id", "n")
-    return p.join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b").select("a", "b", "n_a", "n_b", "distance")
+    sides = F.array(F.struct(F.col("sig"), F.lit(near.FIRST | near.SECOND).alias("side")), F.struct(turned.alias("sig"), F.lit(near.SECOND).alias("side")))
+    p = near.near_signatures(plain.select("id", F.inline(sides)), 4).groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    return with_sizes(p, plain)
 
 
 @query(f"WITH {SIGS}, n AS (SELECT doc_id AS id, length(text) AS c, len(string_split(text, ' ')) AS w FROM documents), k AS (SELECT lo, hi, c, w, min(id) AS id, count(*) AS n FROM g JOIN n USING (id) GROUP BY ALL) SELECT x.id AS a, y.id AS b, x.n AS n_a, y.n AS n_b FROM k x JOIN k y ON x.id < y.id WHERE {DIST} <= 3 AND (abs(x.c - y.c) + abs(x.w - y.w)) / 2 <= 20")
@@ -82,7 +81,7 @@ def near_pairs_confirmed(spark, d):
     """Near classes of signature and second feature, confirmed by the feature's mean difference."""
     f = load(spark, d, "documents").select(F.col("doc_id").alias("id"), F.array(F.length("text"), F.size(F.split("text", " "))).alias("f"))
     k = written(relational.signature_classes(signatures(spark, d).join(f, "id"), ["f"]), "classes")
-    j = relational.signature_pairs(k, k, 3).where("a < b").join(k.select(F.col("id").alias("a"), F.col("f").alias("fa"), F.col("n").alias("n_a")), "a").join(k.select(F.col("id").alias("b"), F.col("f").alias("fb"), F.col("n").alias("n_b")), "b")
+    j = relational.class_pairs(k, 3).join(k.select(F.col("id").alias("a"), F.col("f").alias("fa"), F.col("n").alias("n_a")), "a").join(k.select(F.col("id").alias("b"), F.col("f").alias("fb"), F.col("n").alias("n_b")), "b")
     return j.where(policy.mean_difference(F.col("fa"), F.col("fb")) <= 20).select("a", "b", "n_a", "n_b")
 
 

@@ -93,3 +93,7 @@ def test_signatures_of_long_and_odd_texts():
         return signed(sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))) if words else None
 
     assert hashing._simhash.func(pd.Series(texts)).astype(object).where(lambda s: s.notna(), None).tolist() == [plain(t) for t in texts]
+
+
+def test_mirrored_pairs_compare_without_a_join_of_bands(spark, sf):
+    assert "band" not in plans.queries()["mirrored_pairs"](spark, sf)._jdf.queryExecution().toString()
