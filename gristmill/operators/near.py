@@ -161,4 +161,4 @@ def near_signatures(rows: DataFrame, radius: int, rising: bool = True) -> DataFr
     if units.isEmpty():
         return found
     dealt = units.repartition(F.xxhash64("x", "y"))
-    return found.unionAll(dealt.mapInArrow(between, _FOUND).select("a", "b", "distance"))
+    return found.unionAll(written(dealt.mapInArrow(between, _FOUND).select("a", "b", "distance"), "near_blocks"))

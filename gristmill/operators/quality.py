@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,26 +12,38 @@ from ..session import written
 from .graph import connected_components
 
 
-def greedy_independent(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+#: Edges that one task decides in order at most.
+FEW_EDGES = 1_000_000
+
+
+def greedy_independent(nodes: DataFrame, edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """Greedy near-duplicate removal in order of id: a row goes if it is near an accepted earlier
     row, and only then (I3, I4, I5).
 
-    ``nodes``: id; ``edges``: early, late. Each round accepts undecided rows without an undecided
-    or accepted earlier neighbour and rejects rows with an accepted one; the result is that of
-    the sequential pass.
+    ``nodes``: id; ``edges``: early < late. Each round rejects the later neighbours of rows that no
+    undecided row comes before, and drops the edges of rejected rows; what is left when there are
+    ``few`` edges is decided in order by one task. The result is that of the sequential pass.
     """
-    state = written(nodes.select("id").join(edges.select(F.col("late").alias("id")).distinct(), "id", "left_anti").select("id"), "accepted")
-    left = written(nodes.select("id").join(state, "id", "left_anti"), "undecided")
-    for _ in range(max_rounds):
-        if left.isEmpty():
-            return state
-        e = edges.join(left.select(F.col("id").alias("late")), "late", "left_semi")
-        hit = e.join(state.select(F.col("id").alias("early")), "early", "left_semi").select(F.col("late").alias("id")).distinct()
-        open_ = written(left.join(hit, "id", "left_anti"), "open")
-        wait = e.join(open_.select(F.col("id").alias("early")), "early", "left_semi").select(F.col("late").alias("id")).distinct()
-        state = written(state.union(open_.join(wait, "id", "left_anti")), "accepted")
-        left = written(open_.join(wait, "id", "left_semi"), "undecided")
-    raise RuntimeError("the greedy pass did not settle")
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gone: set[int] = set()
+        for b in batches:  # sorted by late: what is earlier is decided
+            for early, late in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if early not in gone:
+                    gone.add(late)
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(gone), pa.int64())], names=["id"])
+
+    known = nodes.select(F.col("id").alias("early"))
+    e = written(edges.select(F.col("early").cast("long"), F.col("late").cast("long")).where("early < late").join(known, "early", "left_semi"), "edges")
+    rejected = e.select(F.col("late").alias("id")).limit(0)
+    while (count := e.count()) > few:
+        heads = e.join(e.select(F.col("late").alias("early")).distinct(), "early", "left_anti")
+        gone = written(heads.select(F.col("late").alias("id")).distinct(), "rejected")
+        rejected = rejected.unionAll(gone)
+        e = written(e.join(gone.toDF("late"), "late", "left_anti").join(gone.toDF("early"), "early", "left_anti").select("early", "late"), "edges")
+    if count:
+        rejected = rejected.unionAll(e.repartition(1).sortWithinPartitions("late").mapInArrow(in_order, "id long"))
+    return nodes.select("id").join(rejected, "id", "left_anti")
 
 
 def keep_one_of_components(units: DataFrame, near: DataFrame, rows: DataFrame) -> DataFrame:

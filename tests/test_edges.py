@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 
 from gristmill import plans
 from gristmill.functions import hashing
-from gristmill.operators import near, relational
+from gristmill.operators import near, quality, relational
 
 
 def against_sql(spark, folder, name, **tables):
@@ -97,3 +97,21 @@ def test_signatures_of_long_and_odd_texts():
 
 def test_mirrored_pairs_compare_without_a_join_of_bands(spark, sf):
     assert "band" not in plans.queries()["mirrored_pairs"](spark, sf)._jdf.queryExecution().toString()
+
+
+def test_greedy_pass_over_a_long_chain(spark):
+    chain = spark.range(400)
+    edges = chain.where("id > 0").selectExpr("id - 1 as early", "id as late")
+    assert sorted(r.id for r in quality.greedy_independent(chain, edges).collect()) == list(range(0, 400, 2))
+
+
+def test_greedy_rounds_and_order_agree(spark):
+    rng = random.Random(4)
+    pairs = sorted({tuple(sorted(rng.sample(range(80), 2))) for _ in range(150)})
+    want: set[int] = set()
+    for i in range(80):
+        if not any(late == i and early in want for early, late in pairs):
+            want.add(i)
+    edges = spark.createDataFrame(pairs, "early long, late long")
+    for few in (0, 60, 1000):
+        assert {r.id for r in quality.greedy_independent(spark.range(80), edges, few).collect()} == want
