@@ -50,7 +50,7 @@ def keep_one_of_components(units: DataFrame, near: DataFrame, rows: DataFrame) -
     """Rows to exclude so that one row of each near component that crosses splits stays.
 
     units: unit, cls, split (one for each signature class and split); near: a, b (classes within
-    the radius); rows: id, unit, rank. Only units of different splits are linked; of a component
+    the radius, either way round); rows: id, unit, rank. Only units of different splits are linked; of a component
     the row with the least (rank, id) stays. No pair of rows is made: a class has a unit a split.
     """
     x, y = (units.toDF(f"u{s}", f"c{s}", f"s{s}") for s in "xy")

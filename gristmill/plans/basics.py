@@ -9,7 +9,7 @@ from ..operators import quality, relational
 from ..session import scratch_dir, written
 from ..streaming import events as streaming
 from ..tables import load
-from .curation import DIST, SIGS, class_members, class_pairs, query, signatures
+from .curation import DIST, SIGS, class_members, query, signatures
 
 
 @query(f"WITH RECURSIVE {SIGS}, e AS (SELECT x.id AS a, y.id AS b FROM g x JOIN g y ON x.id % 3 <> y.id % 3 WHERE {DIST} <= 3), r AS (SELECT a AS node, b AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a), k AS (SELECT node, min({{'s': seen % 3, 'id': seen}}) AS best FROM r GROUP BY node) SELECT node AS id FROM k WHERE best.id <> node")
@@ -19,8 +19,7 @@ def component_keep_one(spark, d):
     classes = written(relational.signature_classes(s), "classes")
     rows = class_members(s, classes).select("id", "class_id", (F.col("id") % 3).alias("rank"))
     units = written(rows.groupBy("class_id", "rank").agg(F.min("id").alias("unit")).select("unit", "class_id", "rank"), "units")
-    near = class_pairs(classes, 3).select("a", "b")
-    near = written(near.unionAll(near.select("b", "a")), "near")
+    near = relational.class_pairs(classes, 3).select("a", "b")
     return quality.keep_one_of_components(units, near, rows.join(units, ["class_id", "rank"]).select("id", "unit", "rank"))
 
 

@@ -8,10 +8,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from gristmill import plans
 from gristmill.functions import hashing
 from gristmill.operators import near, quality, relational
+from gristmill.plans import curation
 
 
 def against_sql(spark, folder, name, **tables):
@@ -95,8 +97,15 @@ def test_signatures_of_long_and_odd_texts():
     assert hashing._simhash.func(pd.Series(texts)).astype(object).where(lambda s: s.notna(), None).tolist() == [plain(t) for t in texts]
 
 
-def test_mirrored_pairs_compare_without_a_join_of_bands(spark, sf):
-    assert "band" not in plans.queries()["mirrored_pairs"](spark, sf)._jdf.queryExecution().toString()
+@pytest.mark.parametrize("name", ["mirrored_pairs", "near_pairs_confirmed"])
+def test_pairs_compare_without_a_join_of_bands(spark, sf, name):
+    assert "band" not in plans.queries()[name](spark, sf)._jdf.queryExecution().toString()
+
+
+def test_rejects_and_components_join_no_sizes_of_classes(spark, sf, monkeypatch):
+    monkeypatch.setattr(curation, "with_sizes", None)
+    for name in ("cross_split_rejects", "component_keep_one"):
+        assert plans.queries()[name](spark, sf).columns == ["id"]
 
 
 def test_greedy_pass_over_a_long_chain(spark):
