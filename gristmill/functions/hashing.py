@@ -117,10 +117,11 @@ def _simhash(text: pd.Series) -> pd.Series:
     return pd.Series([_signature(t) for t in text], dtype="Int64")
 
 
-def simhash(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, sig``: our 64-bit signature twin of an image hash, from md5 of each word (Q2).
+def simhash(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """``id, sig`` and ``more``: our 64-bit signature twin of an image hash, from md5 of each word (Q2).
 
     Bit i is set where more words have it than not. Row by row, each distinct word hashed once a
-    worker, bits counted eight lanes at a time; a text without words has no row.
+    worker, bits counted eight lanes at a time; a text without words has no row. Those go before: a test of
+    the signature would be pushed below it by Spark and sign each text twice.
     """
-    return df.select(F.col(id_col).alias("id"), _simhash(F.col(text_col)).alias("sig")).where("sig is not null")
+    return df.where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(F.col(id_col).alias("id"), _simhash(F.col(text_col)).alias("sig"), *more)

@@ -3,7 +3,8 @@
 Two signatures within the radius share a band (``hashing.bands``). Rows meet by band in Spark's
 shuffle; a task passes its sorted rows and compares those of one band as numpy arrays, so a pair
 that is compared and not near is never a row. Bands of many rows are cut into pairs of blocks,
-which are dealt to all tasks.
+which are dealt to all tasks. Features (whole numbers) may narrow the pairs: a band's rows then lie in
+order of the first one, and only those that it leaves in reach are compared.
 """
 
 from __future__ import annotations
@@ -27,16 +28,28 @@ _FOUND = "a long, b long, distance int, x binary, y binary"
 
 
 class _Pairs:
-    """Compares rows by position and keeps the pairs that are near, in order, and first met here."""
+    """Compares rows by position and keeps the pairs that are near, in order, and first met here.
 
-    def __init__(self, masks: list[int], radius: int, rising: bool) -> None:
+    With features (their number), rows come in order of the first, and a pair's differ by ``total`` at most.
+    """
+
+    def __init__(self, masks: list[int], radius: int, rising: bool, features: int = 0, total: int = 0) -> None:
         self.masks, self.radius, self.rising = np.array(masks, dtype=np.uint64), radius, rising
+        self.features, self.total = features, total
+        self.row = np.dtype([*_ROW.descr, ("f", "<i8", (features,))]) if features else _ROW
         self.out: list[tuple] = []
 
+    def end(self, rows: np.ndarray, others: np.ndarray) -> int:
+        """Where those of ``others`` begin that lie behind the reach of all rows."""
+        return int(np.searchsorted(others["f"][:, 0], rows["f"][-1, 0] + self.total, "right")) if self.features else len(others)
+
+    def alike(self, p: np.ndarray, q: np.ndarray) -> np.ndarray | bool:
+        return np.abs(p["f"] - q["f"]).sum(axis=1) <= self.total if self.features else True
+
     def keep(self, p: np.ndarray, q: np.ndarray, apart: np.ndarray, far: np.ndarray) -> None:
         """Near rows p and q (equally long); a pair counts at the first band that it shares."""
         band = p["band"]
-        good = (band == q["band"]) & ((apart & self.masks[band]) == 0)
+        good = (band == q["band"]) & ((apart & self.masks[band]) == 0) & self.alike(p, q)
         for k, mask in enumerate(self.masks[:-1]):
             good &= (band <= k) | ((apart & mask) != 0)
         for a, b in ((p, q), (q, p)):
@@ -55,16 +68,17 @@ class _Pairs:
 
     def blocks(self, x: np.ndarray, y: np.ndarray | None = None) -> None:
         """All rows of x with all of y; without y each pair within x once."""
-        other = np.ascontiguousarray((x if y is None else y)["sig"])
+        others = x if y is None else y
+        other = np.ascontiguousarray(others["sig"])
         for at in range(0, len(x), STRIP):
             rows, skip = x[at : at + STRIP], at if y is None else 0
-            apart = np.ascontiguousarray(rows["sig"])[:, None] ^ other[None, skip:]
+            apart = np.ascontiguousarray(rows["sig"])[:, None] ^ other[None, skip : self.end(rows, others)]
             far = np.bitwise_count(apart)
             i, j = np.nonzero(far <= self.radius)
             if y is None:
                 i, j = (k[i < j] for k in (i, j))
             if len(i):
-                self.keep(rows[i], (x if y is None else y)[skip + j], apart[i, j], far[i, j])
+                self.keep(rows[i], others[skip + j], apart[i, j], far[i, j])
 
     def taken(self) -> pa.RecordBatch | None:
         if not self.out:
@@ -75,17 +89,17 @@ class _Pairs:
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(far.astype(np.int32)), none, none], names=["a", "b", "distance", "x", "y"])
 
 
-def _units(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _units(rows: np.ndarray, pairs: _Pairs) -> Iterator[pa.RecordBatch]:
     """Pairs of blocks of a large band, to be compared elsewhere."""
     cut = [rows[at : at + BLOCK].tobytes() for at in range(0, len(rows), BLOCK)]
     for i, x in enumerate(cut):
-        ys = [None, *cut[i + 1 :]]
+        ys = [None, *cut[i + 1 : pairs.end(rows[i * BLOCK : (i + 1) * BLOCK], rows[::BLOCK])]]
         none = pa.nulls(len(ys), pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none.cast(pa.int32()), pa.array([x] * len(ys), pa.binary()), pa.array(ys, pa.binary())], names=["a", "b", "distance", "x", "y"])
 
 
 def _passed(batches: Iterator[pa.RecordBatch], pairs: _Pairs) -> Iterator[pa.RecordBatch]:
-    """Compares rows sorted by ``k``, band by band."""
+    """Compares rows sorted by ``k`` (and the first feature), band by band."""
 
     def groups(key: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -100,7 +114,7 @@ def _passed(batches: Iterator[pa.RecordBatch], pairs: _Pairs) -> Iterator[pa.Rec
             if n <= BLOCK:
                 pairs.blocks(rows[s : s + n])
             else:
-                yield from _units(rows[s : s + n])
+                yield from _units(rows[s : s + n], pairs)
         if (found := pairs.taken()) is not None:
             yield found
 
@@ -114,10 +128,12 @@ def _passed(batches: Iterator[pa.RecordBatch], pairs: _Pairs) -> Iterator[pa.Rec
         if not b.num_rows:
             continue
         key = b.column(0).to_numpy(zero_copy_only=False)
-        rows = np.empty(len(key), dtype=_ROW)
+        rows = np.empty(len(key), dtype=pairs.row)
         for i, name in enumerate(("id", "sig", "band", "side"), 1):
             column = b.column(i).to_numpy(zero_copy_only=False)
             rows[name] = column.view(np.uint64) if name == "sig" else column
+        for i in range(pairs.features):
+            rows["f"][:, i] = b.column(5 + i).to_numpy(zero_copy_only=False)
         held.append((key, rows))
         count += len(key)
         if count >= CHUNK and not (last is not None and key[-1] == last):
@@ -131,31 +147,35 @@ def _passed(batches: Iterator[pa.RecordBatch], pairs: _Pairs) -> Iterator[pa.Rec
         yield from groups(*joined())
 
 
-def near_signatures(rows: DataFrame, radius: int, rising: bool = True) -> DataFrame:
+def near_signatures(rows: DataFrame, radius: int, rising: bool = True, features: list[str] | None = None, total: int = 0) -> DataFrame:
     """``a, b, distance`` of rows (id long, sig long, side int) within the radius, exactly.
 
     a stands first and b second by their sides; with ``rising`` only where a < b. A row does not
     meet itself. A pair is made at the first band that it shares, so none is made twice, unless
-    ids repeat. Give it classes of equal signatures, not rows.
+    ids repeat. Give it classes of equal signatures, not rows. With ``features`` (columns of whole
+    numbers, the most telling first) only pairs whose absolute differences add up to ``total`` at most;
+    give it classes of equal signatures and features then (D20).
     """
-    masks = band_masks(radius)
+    masks, features = band_masks(radius), features or []
+    numbers = [F.col(c).cast("long").alias(f"f{i}") for i, c in enumerate(features)]
 
     def banded(sig: Column) -> Column:
         return F.array(*[F.struct(F.xxhash64(F.lit(i), sig.bitwiseAND(F.lit(m - (m >> 63 << 64)))).alias("k"), F.lit(i).alias("band")) for i, m in enumerate(masks)])
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _passed(batches, _Pairs(masks, radius, rising))
+        yield from _passed(batches, _Pairs(masks, radius, rising, len(features), total))
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs(masks, radius, rising)
+        pairs = _Pairs(masks, radius, rising, len(features), total)
         for b in batches:
             for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                pairs.blocks(np.frombuffer(x, dtype=_ROW), None if y is None else np.frombuffer(y, dtype=_ROW))
+                pairs.blocks(np.frombuffer(x, dtype=pairs.row), None if y is None else np.frombuffer(y, dtype=pairs.row))
                 if (found := pairs.taken()) is not None:
                     yield found
 
-    dealt = rows.where("id is not null and sig is not null").select(F.col("id").cast("long").alias("id"), "sig", "side", F.inline(banded(F.col("sig"))))
-    dealt = dealt.select("k", "id", "sig", "band", "side").repartition("k").sortWithinPartitions("k")
+    dealt = rows.dropna(subset=["id", "sig", *features]).select(F.col("id").cast("long").alias("id"), "sig", "side", *numbers, F.inline(banded(F.col("sig"))))
+    order = [f"f{i}" for i in range(len(features))]
+    dealt = dealt.select("k", "id", "sig", "band", "side", *order).repartition("k").sortWithinPartitions("k", *order[:1])
     first = written(dealt.mapInArrow(within, _FOUND), "near")
     found, units = first.where("x is null").select("a", "b", "distance"), first.where("x is not null").select("x", "y")
     if units.isEmpty():

@@ -78,11 +78,14 @@ def mirrored_pairs(spark, d):
 
 @query(f"WITH {SIGS}, n AS (SELECT doc_id AS id, length(text) AS c, len(string_split(text, ' ')) AS w FROM documents), k AS (SELECT lo, hi, c, w, min(id) AS id, count(*) AS n FROM g JOIN n USING (id) GROUP BY ALL) SELECT x.id AS a, y.id AS b, x.n AS n_a, y.n AS n_b FROM k x JOIN k y ON x.id < y.id WHERE {DIST} <= 3 AND (abs(x.c - y.c) + abs(x.w - y.w)) / 2 <= 20")
 def near_pairs_confirmed(spark, d):
-    """Near classes of signature and second feature, confirmed by the feature's mean difference."""
-    f = load(spark, d, "documents").select(F.col("doc_id").alias("id"), F.array(F.length("text"), F.size(F.split("text", " "))).alias("f"))
-    k = written(relational.signature_classes(signatures(spark, d).join(f, "id"), ["f"]), "classes")
-    j = relational.class_pairs(k, 3).join(k.select(F.col("id").alias("a"), F.col("f").alias("fa"), F.col("n").alias("n_a")), "a").join(k.select(F.col("id").alias("b"), F.col("f").alias("fb"), F.col("n").alias("n_b")), "b")
-    return j.where(policy.mean_difference(F.col("fa"), F.col("fb")) <= 20).select("a", "b", "n_a", "n_b")
+    """Near classes of signature and second feature, confirmed by the feature's mean difference.
+
+    Both are compared at once: one signature may have many lengths, and few of its pairs are confirmed.
+    """
+    feature = {"c": F.length("text"), "w": F.size(F.split("text", " "))}
+    s = hashing.simhash(load(spark, d, "documents"), "doc_id", "text", *[v.alias(k) for k, v in feature.items()])
+    k = written(relational.signature_classes(s, [*feature]), "classes")
+    return with_sizes(relational.class_pairs(k, 3, [*feature], 20), k).drop("distance")
 
 
 @query("SELECT conv_id * 1000 + turn // 2 AS pair_key, min(conv_id * 1000 + turn) FILTER (role = 'user')::VARCHAR AS \"user\", min(conv_id * 1000 + turn) FILTER (role = 'assistant')::VARCHAR AS assistant, count(DISTINCT role) FILTER (role IN ('user', 'assistant')) = 2 AS complete FROM conversations GROUP BY 1")

@@ -102,6 +102,48 @@ def test_pairs_compare_without_a_join_of_bands(spark, sf, name):
     assert "band" not in plans.queries()[name](spark, sf)._jdf.queryExecution().toString()
 
 
+def test_one_signature_of_many_lengths_makes_rows_for_confirmed_pairs_only(spark, tmp_path, monkeypatch):
+    made, written = [], near.written
+    monkeypatch.setattr(near, "written", lambda df, name: made.append(written(df, name)) or made[-1])
+    texts = ["a " * (15 * i) + "b" * (i % 3) for i in range(1, 251)] + ["a " * 30 + "\n" * i for i in range(80)] + ["a  " * 40, None, "", " \n", "a" * 70, "a"]
+    docs = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    got, want = against_sql(spark, tmp_path, "near_pairs_confirmed", documents=docs)
+    assert got == want and len(got) > 1000
+    assert sum(df.count() for df in made) == len(got)  # 250 lengths of a signature make 31,125 pairs
+
+
+def test_features_in_large_and_small_bands(monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 40)
+    monkeypatch.setattr(near, "CHUNK", 500)
+    monkeypatch.setattr(near, "STRIP", 16)
+    rng, masks = random.Random(9), hashing.band_masks(3)
+    sigs = close(90, 10, 4) + [12345] * 400 + close(25, 11)
+    f = [(rng.randint(0, 600), rng.randint(-30, 30)) for _ in sigs]
+    rows = sorted((hash((k, s & m)), f[i][0], i, signed(s), k, 3, f[i][1]) for i, s in enumerate(sigs) for k, m in enumerate(masks))
+    k, c, i, sig, band, side, w = zip(*rows, strict=True)
+    table = pa.table({"k": k, "id": i, "sig": sig, "band": pa.array(band, pa.int32()), "side": pa.array(side, pa.int32()), "f0": c, "f1": w})
+    pairs, got, units = near._Pairs(masks, 3, True, 2, 20), [], 0
+    for b in near._passed(iter(table.to_batches(max_chunksize=70)), pairs):
+        for a, c, d, x, y in zip(*(col.to_pylist() for col in b.columns), strict=True):
+            if x is None:
+                got.append((a, c, d))
+            else:
+                units += 1
+                pairs.blocks(np.frombuffer(x, pairs.row), None if y is None else np.frombuffer(y, pairs.row))
+    while (found := pairs.taken()) is not None:
+        got += zip(*(c.to_pylist() for c in found.columns[:3]), strict=True)
+    want = {(i, j, d) for i, j, d in near_by_force(sigs, 3) if abs(f[i][0] - f[j][0]) + abs(f[i][1] - f[j][1]) <= 20}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 500
+    assert 10 < units < 10 * 40  # a band of 400 or more makes 55 pairs of blocks at least
+
+
+def test_each_text_is_signed_once(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, " "), (3, None)], "doc_id long, text string")
+    signed_texts = hashing.simhash(df, "doc_id", "text")
+    assert signed_texts._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r.id for r in signed_texts.collect()] == [1]
+
+
 def test_rejects_and_components_join_no_sizes_of_classes(spark, sf, monkeypatch):
     monkeypatch.setattr(curation, "with_sizes", None)
     for name in ("cross_split_rejects", "component_keep_one"):
