@@ -138,8 +138,7 @@ def _images(spark, d):
 def monotone_steps(spark, d):
     """O2: of the rows of one step the first is forwarded, in rising order of steps."""
     top = scratch_dir(spark)
-    load(spark, d, "events").select(F.lit("m").alias("metric"), F.col("user_id").cast("long").alias("step"), "value").coalesce(1).write.parquet(f"{top}/in")
-    stream = spark.readStream.schema("metric string, step long, value double").parquet(f"{top}/in")
-    out = streaming.monotone(stream).writeStream.format("parquet").option("path", f"{top}/out").option("checkpointLocation", f"{top}/c").outputMode("append").trigger(availableNow=True).start()
-    out.awaitTermination()
-    return spark.read.schema("metric string, step long, value double").parquet(f"{top}/out").select("step", "value")
+    load(spark, d, "events").select(F.lit("m").alias("metric"), F.col("user_id").cast("long").alias("step"), "value").write.parquet(f"{top}/in")
+    stream = spark.readStream.schema("metric string, step long, value double").parquet(f"{top}/in")  # all files are one micro-batch
+    streaming.forwarded(stream, f"{top}/out", f"{top}/c").awaitTermination()
+    return streaming.sent(spark, f"{top}/out").select("step", "value")

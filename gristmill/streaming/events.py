@@ -32,7 +32,10 @@ def session_windows(events: DataFrame, gap: str = "30 minutes", late: str = "10
 
 
 def monotone(steps: DataFrame, key: str = "metric", step: str = "step", value: str = "value") -> DataFrame:
-    """Forward a row only if its step is above the last one forwarded for its key (O2, O3)."""
+    """Forward a row only if its step is above the last one forwarded for its key (O2, O3).
+
+    A key's rows of a micro-batch meet in one task; ``forwarded`` deals them by step.
+    """
 
     def run(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
@@ -49,6 +52,35 @@ def monotone(steps: DataFrame, key: str = "metric", step: str = "step", value: s
     return steps.groupBy(key).applyInPandasWithState(run, f"{key} string, {step} long, {value} double", "last long", "append", GroupStateTimeout.NoTimeout)
 
 
+def forwarded(stream: DataFrame, path: str, checkpoint: str, key: str = "metric", step: str = "step", value: str = "value") -> StreamingQuery:
+    """``monotone`` for keys of any size (O2, O3): of each step above the key's last one the least value.
+
+    A micro-batch's rows are combined by key and step before they are dealt, and stand in a folder of
+    their own; a repeated batch replaces them. The last steps, a row a key, are carried from batch to
+    batch. A missing step counts as the lowest one. ``sent`` reads the rows.
+    """
+
+    def forward(batch: DataFrame, number: int) -> None:
+        spark, at = batch.sparkSession, f"{path}/last/batch={number}"
+        rows = batch.groupBy(key, step).agg(F.min(value).alias(value))
+        if number:
+            earlier = spark.read.schema(rows.schema).parquet(f"{path}/rows/batch={number - 1}").select(key, step)
+            if number > 1:
+                earlier = earlier.union(spark.read.schema(earlier.schema).parquet(f"{path}/last/batch={number - 1}"))
+            last = earlier.groupBy(key).agg(F.max(step).alias(step))
+            last.write.mode("overwrite").parquet(at)
+            last = spark.read.schema(last.schema).parquet(at).toDF("__key", "__last")
+            rows = rows.join(last, F.col(key).eqNullSafe(F.col("__key")) & (F.col(step).isNull() | (F.col(step) <= F.col("__last"))), "left_anti")
+        rows.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+
+    return stream.writeStream.foreachBatch(forward).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def sent(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``forwarded`` has let through so far."""
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
 def parsed_log(lines: DataFrame) -> DataFrame:
     """``metric, step, value`` of complete log lines such as ``step=3 loss=0.25``."""
     pattern = r"^step=(\d+) (\w+)=(-?[0-9.eE+-]+)$"

@@ -1,5 +1,10 @@
+import math
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from gristmill import plans
 from gristmill.operators import ordering
 from gristmill.streaming import events
 
@@ -39,6 +44,92 @@ def test_monotone_and_log(spark, tmp_path):
     assert sorted((r.metric, r.step) for r in first) == [("acc", 1), ("loss", 1), ("loss", 2)]
 
 
+BATCHES = [
+    [("a", 3, 0.5), ("a", 1, 0.2), ("a", 3, 0.4), ("a", None, 0.7), ("b", 9, math.nan), (None, 4, 1.0)],
+    [("a", 3, 0.1), ("a", 5, 0.9), ("a", None, 0.1), ("b", 9, 0.3), ("c", None, 2.0), (None, 2, 0.0), (None, 6, 0.5)],
+    [("a", 4, 0.1), ("b", 10, None), ("b", 10, 0.8), ("c", None, 1.0), ("c", 0, 3.0), (None, 6, 0.1)],
+    [("a", 5, 0.0), ("a", 6, 0.6), ("c", 0, 1.0), ("c", -1, 1.0)],
+]
+
+
+def one_by_one(batches):
+    """Rows in order of batch, step and value; a missing step is the lowest, a missing value the last."""
+    last, out = {}, []
+    order = lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2] is None, r[2] is not None and math.isnan(r[2]), r[2] or 0)
+    for batch in batches:
+        for k, s, v in sorted(batch, key=order):
+            if k not in last or (s is not None and (last[k] is None or s > last[k])):
+                last[k] = s
+                out.append((k, s, v))
+    return out
+
+
+@pytest.mark.parametrize("limit", ["1", "-1"])
+def test_forwarded_over_batches(spark, tmp_path, limit):
+    src, out, ck = (f"{tmp_path}/{x}" for x in ("in", "out", "ck"))
+    schema = "metric string, step long, value double"
+    spark.createDataFrame([], schema).write.parquet(src)
+
+    def run():
+        events.forwarded(spark.readStream.schema(schema).parquet(src), out, ck).awaitTermination()
+        return sorted(map(repr, map(tuple, events.sent(spark, out).collect())))
+
+    if limit == "1":  # a micro-batch after the other, each of them run again as after a crash before its commit
+        assert run() == []
+        for n, batch in enumerate(BATCHES, 1):
+            spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+            once = run()
+            for f in (f"{n}", f".{n}.crc"):
+                (tmp_path / "ck/commits" / f).unlink(missing_ok=True)
+            assert run() == once == sorted(map(repr, one_by_one(BATCHES[:n])))
+        assert run() == once  # no new rows
+    else:
+        for batch in BATCHES:
+            spark.createDataFrame(batch, schema).write.mode("append").parquet(src)
+        assert run() == sorted(map(repr, one_by_one([sum(BATCHES, [])])))
+
+
+def test_forwarded_equals_monotone(spark, tmp_path):
+    schema, src = "metric string, step long, value double", f"{tmp_path}/in"
+    for n in range(4):
+        rows = [(f"m{i % 3}", (i * 7919 + n * 31) % 40 + n * 10, float((i * 31 + n) % 17)) for i in range(200)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    want = drained(events.monotone(stream), "monotone").collect()
+    events.forwarded(stream, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
+    assert sorted(map(tuple, events.sent(spark, f"{tmp_path}/out").collect())) == sorted(map(tuple, want))
+
+
+def odd_events(spark, path, one_file):
+    rows = [(i, None if i % 11 == 0 else i % 40, None if i % 40 == 7 or i % 13 == 0 else math.nan if i % 40 == 9 or i % 17 == 0 else (i * 7919 % 1000) / 8 - 50) for i in range(2000)]
+    spark.createDataFrame(rows, "event_id long, user_id long, value double").coalesce(1 if one_file else 4).write.parquet(f"{path}/parts")
+    if one_file:
+        next((path / "parts").glob("*.parquet")).rename(path / "events.parquet")
+    else:
+        (path / "parts").rename(path / "events.parquet")
+    return f"'{path}/events.parquet{'' if one_file else '/*.parquet'}'"
+
+
+@pytest.mark.parametrize("one_file", [True, False])
+def test_monotone_steps_of_odd_events(spark, tmp_path, one_file):
+    table = odd_events(spark, tmp_path, one_file)
+    got = plans.queries()["monotone_steps"](spark, str(tmp_path))
+    want = duckdb.sql(f"WITH events AS (FROM {table}) {plans.oracle_sql()['monotone_steps']}").fetchall()
+    assert sorted(map(repr, map(tuple, got.select("step", "value").collect()))) == sorted(map(repr, want))
+    assert any(r[0] is None for r in want) and any(r[1] is None for r in want) and "nan" in repr(want)
+
+
+def test_monotone_steps_in_more_than_one_task(spark, sf):
+    """All rows are of one metric: dealt by it alone, one task would hold them all."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = plans.queries()["monotone_steps"](spark, sf)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = got.groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 1 and max(r["count"] for r in files) < got.count() / 2
+
+
 def test_resumable_ingest(spark, tmp_path):
     src, sink = f"{tmp_path}/in", f"{tmp_path}/out"
     spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id long, v string").write.parquet(src)
